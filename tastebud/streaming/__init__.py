@@ -1,0 +1,8 @@
+"""Streaming.
+
+The reference has no streaming path: no stream source, no event time, no stateful
+operator.  Nothing here is registered as a query.  The batch operators take any
+DataFrame, so a Structured Streaming job can call the stateless ones (projection,
+filters, binarize, feature keys) on a stream, and use ``foreachBatch`` to append
+interaction rows before a batch retrain.
+"""
