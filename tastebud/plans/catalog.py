@@ -311,8 +311,10 @@ SQL: dict[str, str] = {
 
 
 def all_queries() -> dict[str, Query]:
-    return dict(QUERIES)
+    from . import fixed
+    return {**QUERIES, **fixed.QUERIES}
 
 
 def all_sql() -> dict[str, str]:
-    return dict(SQL)
+    from . import fixed
+    return {**SQL, **fixed.SQL}
