@@ -52,8 +52,9 @@ def sub(a, b) -> Column:
 
 def hashed_uniform_vector(seed: int, key, dim: int, scale_by: float) -> Column:
     """Deterministic initial vector: component d is uniform(-0.5, 0.5) * scale_by, drawn
-    from ``xxhash64(seed, key, d)``; identical on every retry and partitioning."""
-    return F.transform(
-        F.sequence(F.lit(0), F.lit(dim - 1)),
-        lambda d: ((F.pmod(F.xxhash64(F.lit(seed), _col(key), d), F.lit(1 << 30)) / float(1 << 30))
-                   - 0.5) * scale_by)
+    from ``xxhash64(seed, key, d)``; identical on every retry and partitioning.
+    (One literal expression per component: no lambda, so nothing to re-bind.)"""
+    k = _col(key)
+    return F.array(*[
+        ((F.pmod(F.xxhash64(F.lit(seed), k, F.lit(d)), F.lit(1 << 30)) / float(1 << 30)) - 0.5) * scale_by
+        for d in range(dim)])

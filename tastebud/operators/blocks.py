@@ -24,9 +24,11 @@ so the local cut never drops a row the global ranking would keep.
 from __future__ import annotations
 
 import math
+import sys
 
 import numpy as np
 import pandas as pd
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -35,6 +37,10 @@ from ..functions.vectors import normalize
 
 DEFAULT_BLOCK_ROWS = 4096
 
+# The pandas kernels below run on executors; ship this module's code with them so
+# executors need numpy/pandas only, not this package on their path.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 
 def _n_blocks(n_rows: int, block_rows: int) -> int:
     return max(1, math.ceil(n_rows / block_rows))

@@ -8,8 +8,8 @@ loop stops when a round removes nothing.
 Per round: two partial-aggregated ``groupBy.count`` (a user holding a third of the
 rows is pre-counted map-side) and two ``left_semi`` joins against the survivors
 (AQE broadcasts the survivor list while it is small, else shuffles; skewed
-partitions are split by AQE's skew-join rule).  The pair table is checkpointed to
-the shared checkpoint folder every round, so lineage stays one round deep.
+partitions are split by AQE's skew-join rule).  Rounds are cached and every few
+rounds checkpointed to the shared checkpoint folder, so lineage stays short.
 """
 
 from __future__ import annotations
@@ -30,35 +30,51 @@ def kcore_round(pairs: DataFrame, user_min: int, item_min: int, user: str, item:
 
 
 def kcore(df: DataFrame, user_min: int, item_min: int, user: str = "user", item: str = "item",
-          max_rounds: int = 1000) -> DataFrame:
+          max_rounds: int = 1000, checkpoint_every: int = 4) -> DataFrame:
     """Rows of ``df`` whose (user, item) pair survives thresholding.
 
     ``user_min`` bounds the distinct items per user and ``item_min`` the distinct
     users per item (the documented meaning; duplicates are counted once).
+
+    Each round is one job: the surviving pairs are cached and counted in the same
+    pass; every ``checkpoint_every`` rounds they are also checkpointed to the shared
+    folder, which bounds lineage (and recomputation after a lost executor) to a few
+    rounds.
     """
-    pairs = cut_lineage(df.select(user, item).distinct())
+    pairs = df.select(user, item).distinct().persist()
     n = pairs.count()
-    for _ in range(max_rounds):
-        nxt = cut_lineage(kcore_round(pairs, user_min, item_min, user, item))
-        m = nxt.count()
-        pairs = nxt
-        if m == n:
-            break
-        n = m
-    else:
-        raise RuntimeError("k-core did not converge")
+    held = [pairs]
+    try:
+        for r in range(1, max_rounds + 1):
+            nxt = kcore_round(pairs, user_min, item_min, user, item)
+            nxt = cut_lineage(nxt) if r % checkpoint_every == 0 else nxt.persist()
+            held.append(nxt)
+            m = nxt.count()
+            pairs = nxt
+            if m == n:
+                break
+            n = m
+        else:
+            raise RuntimeError("k-core did not converge")
+        if r % checkpoint_every != 0:
+            pairs = cut_lineage(pairs)  # durable result, independent of the caches
+    finally:
+        for h in held:
+            h.unpersist()
     return df.join(pairs, [user, item], "left_semi")
 
 
 def kcore_rounds_needed(df: DataFrame, user_min: int, item_min: int, user: str = "user",
                         item: str = "item") -> int:
     """Number of shrinking rounds (for sizing an unrolled SQL oracle)."""
-    pairs = cut_lineage(df.select(user, item).distinct())
+    pairs = df.select(user, item).distinct().persist()
     n, rounds = pairs.count(), 0
     while True:
-        nxt = cut_lineage(kcore_round(pairs, user_min, item_min, user, item))
+        nxt = kcore_round(pairs, user_min, item_min, user, item).persist()
         m = nxt.count()
+        pairs.unpersist()
         if m == n:
+            nxt.unpersist()
             return rounds
         rounds += 1
         pairs, n = nxt, m

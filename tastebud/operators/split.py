@@ -51,11 +51,11 @@ def holdout_per_user(df: DataFrame, n: int, fraction: float | None = None, seed:
     pairs = df.select(user, item).distinct()
     counts = pairs.groupBy(user).agg(F.count(F.lit(1)).alias("_c"))
     if fraction:
-        n_users = counts.count()
+        n_users, n_eligible = counts.agg(
+            F.count(F.lit(1)), F.sum(F.when(F.col("_c") >= 2 * n, 1).otherwise(0))).first()
         k = int(fraction * n_users)
         eligible = counts.where(F.col("_c") >= 2 * n).select(user)
-        n_eligible = eligible.count()
-        if n_eligible < k:
+        if (n_eligible or 0) < k:
             raise ValueError(f"not enough users with >= {2 * n} interactions for fraction {fraction}")
         ranked = index_by_order(eligible.withColumn("_h", md5_key(seed, user)), ["_h", user], "_pos")
         chosen = ranked.where(F.col("_pos") < k).select(user)

@@ -311,8 +311,8 @@ SQL: dict[str, str] = {
 
 
 def all_queries() -> dict[str, Query]:
-    from . import fixed
-    return {**QUERIES, **fixed.QUERIES}
+    from . import fixed, flagship
+    return {**QUERIES, **fixed.QUERIES, **flagship.QUERIES}
 
 
 def all_sql() -> dict[str, str]:

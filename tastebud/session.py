@@ -11,6 +11,7 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -64,10 +65,16 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
 
 
 def cut_lineage(df: DataFrame) -> DataFrame:
-    """Reliable checkpoint: materialise ``df`` into the shared checkpoint folder.
+    """Materialise ``df`` as a parquet table in the shared checkpoint folder and read it back.
 
-    Used between rounds of iterative jobs so plans stay small and a lost executor
-    only costs the current round.
+    Used between rounds of iterative jobs: the returned plan is a plain file scan,
+    so neither lineage nor the optimizer's view of it grows with the number of
+    rounds (a reliable ``checkpoint()`` keeps its origin plan for statistics, and
+    state that depends on two earlier states would make that history grow
+    exponentially).  A lost executor only costs the current round.
     """
-    ensure_checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    spark = df.sparkSession
+    root = ensure_checkpoint_dir(spark)
+    path = f"{root.rstrip('/')}/tables/{uuid.uuid4().hex}"
+    df.write.mode("error").parquet(path)
+    return spark.read.parquet(path)
