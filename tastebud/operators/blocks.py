@@ -73,15 +73,19 @@ def _replicate(df: DataFrame, own: str, own_n: int, other: str, other_n: int, ke
 
 
 def _right_side(rside: DataFrame, exclude: DataFrame | None, a: int, b: int, lk_type: T.DataType) -> DataFrame:
-    """Right factor rows (xl = null) plus exclusion pairs (xl = left key, vec = null)."""
+    """Right factor rows (``ex`` false) plus exclusion pairs (``ex`` true, ``xl`` = left key).
+
+    ``xl`` is never null (a typed placeholder on factor rows): a nullable integer
+    column would reach pandas as float64 and lose ids above 2**53."""
+    placeholder = F.lit("").cast(lk_type) if isinstance(lk_type, T.StringType) else F.lit(0).cast(lk_type)
     rows = _replicate(rside, "rb", b, "lb", a, "rk").select(
-        "lb", "rb", "rk", "vec", F.lit(None).cast(lk_type).alias("xl"))
+        "lb", "rb", "rk", "vec", F.lit(False).alias("ex"), placeholder.alias("xl"))
     if exclude is None:
         return rows
     ex = exclude.select(F.col("lk").cast(lk_type).alias("xl"),
                         F.col("rk").cast(dict(rows.dtypes)["rk"]).alias("rk"))
     ex = ex.select(_block("xl", a).alias("lb"), _block("rk", b).alias("rb"), "rk",
-                   F.lit(None).cast("array<double>").alias("vec"), "xl")
+                   F.lit(None).cast("array<double>").alias("vec"), F.lit(True).alias("ex"), "xl")
     return rows.unionByName(ex)
 
 
@@ -96,7 +100,8 @@ def _stack(vecs: pd.Series) -> np.ndarray:
 
 
 def _masked_scores(lpdf: pd.DataFrame, rpdf: pd.DataFrame, exclude_self: bool):
-    items = rpdf[rpdf["xl"].isna()]
+    is_ex = rpdf["ex"].to_numpy(dtype=bool)
+    items = rpdf[~is_ex]
     if len(lpdf) == 0 or len(items) == 0:
         return None
     lkeys = lpdf["lk"].to_numpy()
@@ -105,12 +110,13 @@ def _masked_scores(lpdf: pd.DataFrame, rpdf: pd.DataFrame, exclude_self: bool):
     valid = np.isfinite(s)
     if exclude_self:
         valid &= lkeys[:, None] != rkeys[None, :]
-    ex = rpdf[rpdf["xl"].notna()]
+    ex = rpdf[is_ex]
     if len(ex):
-        li = pd.Index(lkeys).get_indexer(ex["xl"].to_numpy())
-        ri = pd.Index(rkeys).get_indexer(ex["rk"].to_numpy())
-        ok = (li >= 0) & (ri >= 0)
-        valid[li[ok], ri[ok]] = False
+        # left keys may repeat (one row per chunk of positives): map through a merge
+        rpos = pd.DataFrame({"rk": rkeys, "ri": np.arange(len(rkeys))})
+        lpos = pd.DataFrame({"xl": lkeys, "li": np.arange(len(lkeys))})
+        hit = ex[["xl", "rk"]].merge(rpos, on="rk").merge(lpos, on="xl")
+        valid[hit["li"].to_numpy(), hit["ri"].to_numpy()] = False
     return lkeys, rkeys, s, valid
 
 

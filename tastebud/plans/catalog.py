@@ -189,6 +189,20 @@ def q_rmse_item_mean(spark, d):
     return rel.rmse(pred, "rating", "prediction").select(_r("rmse").alias("rmse"), "n")
 
 
+def q_arm_scores(spark, d):
+    from ..operators import bandit
+    out = bandit.arm_scores(tables.event_log(spark, d))
+    return out.select("arm", "pulls", _r("mean_reward").alias("mean_reward"), _r("ucb").alias("ucb"))
+
+
+def q_replay_greedy_policy(spark, d):
+    """Replay (in-sample) the per-user greedy policy over the whole event log."""
+    from ..operators import bandit
+    log = tables.event_log(spark, d)
+    out = bandit.replay_fixed_policy(log, bandit.greedy_policy(log))
+    return out.select("matched", _r("mean_reward").alias("mean_reward"))
+
+
 QUERIES: dict[str, Query] = {
     "interaction_table": q_interaction_table,
     "interaction_binary": q_interaction_binary,
@@ -215,6 +229,8 @@ QUERIES: dict[str, Query] = {
     "eval_train": q_eval_train,
     "set_minus_users": q_set_minus_users,
     "rmse_item_mean": q_rmse_item_mean,
+    "arm_scores": q_arm_scores,
+    "replay_greedy_policy": q_replay_greedy_policy,
 }
 
 
@@ -248,6 +264,13 @@ test AS (SELECT "user", item FROM ranked WHERE r <= {n})"""
 
 
 SQL: dict[str, str] = {
+    "arm_scores": """WITH ev AS (SELECT event_type AS arm, value AS reward FROM events)
+        SELECT arm, count(*) AS pulls, round(avg(reward), 6) AS mean_reward,
+        round(avg(reward) + sqrt(2.0 * ln((SELECT count(*) FROM ev)) / count(*)), 6) AS ucb FROM ev GROUP BY arm""",
+    "replay_greedy_policy": """WITH ev AS (SELECT user_id AS "user", event_type AS arm, value AS reward FROM events),
+        m AS (SELECT "user", arm, avg(reward) AS mr FROM ev GROUP BY "user", arm),
+        pol AS (SELECT "user", arm FROM (SELECT *, row_number() OVER (PARTITION BY "user" ORDER BY mr DESC, arm) AS r FROM m) WHERE r = 1)
+        SELECT count(*) AS matched, round(avg(reward), 6) AS mean_reward FROM ev JOIN pol USING ("user", arm)""",
     "interaction_table": f'WITH {I_CTE} SELECT "user", item, value FROM I',
     "interaction_binary": f'WITH {I_CTE} SELECT "user", item, CASE WHEN value > {BINARY_THRESHOLD} THEN 1 ELSE 0 END AS value_bin FROM I',
     "interaction_stats": f'''WITH {I_CTE} SELECT count(DISTINCT "user") AS n_users, count(DISTINCT item) AS n_items,
@@ -311,8 +334,8 @@ SQL: dict[str, str] = {
 
 
 def all_queries() -> dict[str, Query]:
-    from . import fixed, flagship
-    return {**QUERIES, **fixed.QUERIES, **flagship.QUERIES}
+    from . import fixed, flagship, rank_queries
+    return {**QUERIES, **fixed.QUERIES, **flagship.QUERIES, **rank_queries.QUERIES}
 
 
 def all_sql() -> dict[str, str]:
