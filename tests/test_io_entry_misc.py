@@ -1,0 +1,69 @@
+import os
+import tempfile
+
+import pandas as pd
+from pyspark.sql import functions as F
+
+import __spark_entry__ as entry
+from tastebud.operators import bandit, encode, tune
+from tastebud.sources import files
+
+
+def test_read_psv_backslash_quote(spark):
+    text = 'mid|type|value\n1|tag|\\a|b\\\n2|tag|say "hi"\n3|category|plain\n'
+    d = tempfile.mkdtemp(prefix="psv-")
+    path = os.path.join(d, "feats.psv")
+    with open(path, "w") as f:
+        f.write(text)
+    got = sorted(tuple(r) for r in files.read_psv(spark, path).collect())
+    want = sorted(tuple(str(x) for x in r) for r in
+                  pd.read_csv(path, sep="|", quotechar="\\").itertuples(index=False))
+    assert got == want
+    assert ("1", "tag", "a|b") in got and ("2", "tag", 'say "hi"') in got
+
+
+def test_read_ratings_renames_by_position(spark):
+    d = tempfile.mkdtemp(prefix="csv-")
+    path = os.path.join(d, "ratings.csv")
+    with open(path, "w") as f:
+        f.write("userId,movieId,rating,timestamp\n1,10,4.5,0\n2,11,3.0,0\n")
+    df = files.read_ratings(spark, path)
+    assert df.columns == ["user", "item", "rating"]
+    assert sorted(tuple(r) for r in df.collect()) == [(1, 10, 4.5), (2, 11, 3.0)]
+
+
+def test_item_dictionary_last_wins_and_feature_options(spark):
+    items = spark.createDataFrame([(1, "a", 0), (1, "b", 1), (2, "c", 0)], "item long, title string, row_order long")
+    assert {r.item: r.title for r in encode.item_dictionary(items).collect()} == {1: "b", 2: "c"}
+    feats = spark.createDataFrame([(1, "x", 1.0), (2, "x", 1.0), (2, "y", 1.0)], "item long, feature string, weight double")
+    kept = encode.feature_options(feats, min_items=2, normalise=True).collect()
+    assert sorted((r.item, r.feature, r.weight) for r in kept) == [(1, "x", 1.0), (2, "x", 1.0)]
+    vec = encode.features_to_vector(spark.createDataFrame([(1, 2, 1.0), (1, 0, 0.5)], "item long, feature_idx long, weight double"), 3)
+    v = vec.first().features
+    assert v.size == 3 and list(v.indices) == [0, 2] and list(v.values) == [0.5, 1.0]
+
+
+def test_trials_are_reproducible():
+    a = [tune.draw_trial(tune.DEFAULT_SPACE, 42, t) for t in range(3)]
+    b = [tune.draw_trial(tune.DEFAULT_SPACE, 42, t) for t in range(3)]
+    assert a == b
+    for t in a:
+        assert 1 <= t["epochs"] <= 50 and 1e-4 <= t["learning_rate"] <= 1.0 and 20 <= t["dim"] <= 200
+
+
+def test_bandit_summaries(spark):
+    log = spark.createDataFrame([(1, "a", 1.0), (1, "b", 0.0), (2, "a", 0.0), (2, "a", 1.0)],
+                                "user long, arm string, reward double")
+    s = {r.arm: (r.pulls, r.mean_reward) for r in bandit.arm_scores(log).collect()}
+    assert s == {"a": (3, 2 / 3), "b": (1, 0.0)}
+    pol = {r.user: r.arm for r in bandit.greedy_policy(log).collect()}
+    assert pol == {1: "a", 2: "a"}
+    assert tuple(bandit.replay_fixed_policy(log, bandit.greedy_policy(log)).first()) == (3, 2 / 3)
+
+
+def test_entry_and_registry(spark):
+    df = entry.entry(spark)
+    assert df.columns == ["user", "item", "rating", "rank", "title", "genres"]
+    assert df.count() > 0
+    q, sql = entry.queries(), entry.oracle_sql()
+    assert set(sql) <= set(q)
