@@ -36,6 +36,8 @@ def main() -> None:
     warm = "/root/testdata/sf0.001" if os.path.isdir("/root/testdata/sf0.001") else sf_dir
     run(catalog.q_interaction_table(spark, warm))
     run(fixed.q_item_similarity_top10(spark, warm))
+    run(catalog.q_kcore_20_20(spark, warm))
+    run(catalog.q_holdout_per_user(spark, warm))
 
     times: dict[str, float] = {}
 

@@ -41,9 +41,10 @@ def kcore(df: DataFrame, user_min: int, item_min: int, user: str = "user", item:
     folder, which bounds lineage (and recomputation after a lost executor) to a few
     rounds.
     """
-    pairs = df.select(user, item).distinct().persist()
+    src = df.persist()  # read once: pairs and the final rows both come from it
+    pairs = src.select(user, item).distinct().persist()
     n = pairs.count()
-    held = [pairs]
+    held = [src, pairs]
     try:
         for r in range(1, max_rounds + 1):
             nxt = kcore_round(pairs, user_min, item_min, user, item)
@@ -56,12 +57,11 @@ def kcore(df: DataFrame, user_min: int, item_min: int, user: str = "user", item:
             n = m
         else:
             raise RuntimeError("k-core did not converge")
-        if r % checkpoint_every != 0:
-            pairs = cut_lineage(pairs)  # durable result, independent of the caches
+        # durable result, independent of the caches released below
+        return cut_lineage(src.join(pairs, [user, item], "left_semi"))
     finally:
         for h in held:
             h.unpersist()
-    return df.join(pairs, [user, item], "left_semi")
 
 
 def kcore_rounds_needed(df: DataFrame, user_min: int, item_min: int, user: str = "user",
