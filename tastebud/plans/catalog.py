@@ -203,6 +203,49 @@ def q_replay_greedy_policy(spark, d):
     return out.select("matched", _r("mean_reward").alias("mean_reward"))
 
 
+def q_exclude_ids(spark, d):
+    matched = rel.search_items(tables.items(spark, d), SEARCH_TEXT)
+    return rel.exclude_ids(tables.interactions(spark, d), matched, "item")
+
+
+def q_lookup_ids(spark, d):
+    """Popularity score and rank of the items a title search returns, attached by key."""
+    pop = rel.popularity_baseline(tables.interactions(spark, d)).withColumn("_s", F.round("score", 6))
+    # global rank without a single-partition window: range-partitioned dense positions
+    ranked = encode.index_by_order(pop, [F.col("_s").desc(), F.col("item")], "_pos") \
+        .withColumn("rank", F.col("_pos") + 1).drop("_pos", "_s")
+    matched = rel.search_items(tables.items(spark, d), SEARCH_TEXT).select("item", "title")
+    return rel.lookup_ids(ranked, matched, "item").select("item", "title", _r("score").alias("score"), "rank")
+
+
+def q_attach_side_info(spark, d):
+    side = tables.item_side_info(spark, d)
+    return rel.attach_side_info(tables.interactions(spark, d).select("item").distinct(), side)
+
+
+def q_distinct_items(spark, d):
+    return rel.distinct_values(tables.interactions(spark, d), "item")
+
+
+def q_top_items(spark, d):
+    pop = rel.popularity_baseline(tables.interactions(spark, d))
+    return rel.top_n(pop.select("item", _r("score").alias("score")), [F.col("score").desc(), F.col("item")], TOP_K)
+
+
+def q_item_dictionary(spark, d):
+    """Genre -> title of its last item (highest part key): last duplicate wins."""
+    part = tables.table(spark, d, "part").select(F.col("p_type").alias("genres"),
+                                                  F.col("p_name").alias("title"),
+                                                  F.col("p_partkey").alias("row_order"))
+    return encode.item_dictionary(part, "genres", "title", "row_order")
+
+
+def q_feature_options(spark, d):
+    feats = rel.features_from_side_info(tables.item_side_info(spark, d))
+    out = encode.feature_options(feats, min_items=100, normalise=True)
+    return out.select("item", "feature", _r("weight").alias("weight"))
+
+
 QUERIES: dict[str, Query] = {
     "interaction_table": q_interaction_table,
     "interaction_binary": q_interaction_binary,
@@ -229,6 +272,13 @@ QUERIES: dict[str, Query] = {
     "eval_train": q_eval_train,
     "set_minus_users": q_set_minus_users,
     "rmse_item_mean": q_rmse_item_mean,
+    "exclude_ids": q_exclude_ids,
+    "lookup_ids": q_lookup_ids,
+    "attach_side_info": q_attach_side_info,
+    "distinct_items": q_distinct_items,
+    "top_items": q_top_items,
+    "item_dictionary": q_item_dictionary,
+    "feature_options": q_feature_options,
     "arm_scores": q_arm_scores,
     "replay_greedy_policy": q_replay_greedy_policy,
 }
@@ -264,6 +314,22 @@ test AS (SELECT "user", item FROM ranked WHERE r <= {n})"""
 
 
 SQL: dict[str, str] = {
+    "exclude_ids": f'''WITH {I_CTE}, {ITEMS_CTE} SELECT "user", item, value FROM I
+        WHERE item NOT IN (SELECT item FROM items WHERE lower(title) LIKE '%{SEARCH_TEXT}%')''',
+    "lookup_ids": f'''WITH {I_CTE}, {ITEMS_CTE},
+        pop AS (SELECT item, round(sum(value) / (SELECT count(DISTINCT "user") FROM I), 6) AS score FROM I GROUP BY item),
+        r AS (SELECT item, score, CAST(row_number() OVER (ORDER BY score DESC, item) AS BIGINT) AS rank FROM pop)
+        SELECT r.item, items.title, r.score, r.rank FROM r JOIN items USING (item) WHERE lower(items.title) LIKE '%{SEARCH_TEXT}%' ''',
+    "attach_side_info": f'''WITH {I_CTE}, {SIDE_CTE} SELECT item, type, value FROM side WHERE item IN (SELECT item FROM I)''',
+    "distinct_items": f'WITH {I_CTE} SELECT DISTINCT item FROM I',
+    "top_items": f'''WITH {I_CTE}, pop AS (SELECT item, round(sum(value) / (SELECT count(DISTINCT "user") FROM I), 6) AS score
+        FROM I GROUP BY item) SELECT item, score FROM pop ORDER BY score DESC, item LIMIT {TOP_K}''',
+    "item_dictionary": 'SELECT p_type AS genres, arg_max(p_name, p_partkey) AS title FROM part GROUP BY p_type',
+    "feature_options": f'''WITH {SIDE_CTE}, {FEATURES_CTE},
+        keep AS (SELECT feature FROM feats GROUP BY feature HAVING count(DISTINCT item) >= 100),
+        f AS (SELECT * FROM feats WHERE feature IN (SELECT feature FROM keep)),
+        k AS (SELECT item, count(*) AS n FROM f GROUP BY item)
+        SELECT item, feature, round(1.0 / n, 6) AS weight FROM f JOIN k USING (item)''',
     "arm_scores": """WITH ev AS (SELECT event_type AS arm, value AS reward FROM events)
         SELECT arm, count(*) AS pulls, round(avg(reward), 6) AS mean_reward,
         round(avg(reward) + sqrt(2.0 * ln((SELECT count(*) FROM ev)) / count(*)), 6) AS ucb FROM ev GROUP BY arm""",

@@ -24,7 +24,7 @@ TAG_PREFIX = "tag_"
 
 
 def _r(c):
-    return F.round(F.col(c), 6)
+    return F.round(F.col(c) if isinstance(c, str) else c, 6)
 
 
 def fixed_model(spark, d):
@@ -116,6 +116,17 @@ def q_item_features_of(spark, d):
     return sim.item_features_of(item_tags(spark, d), wanted)
 
 
+def q_report_fixed(spark, d):
+    """Mean precision@10, recall@10 and AUC over users (test split, train excluded)."""
+    users, items = fixed_model(spark, d)
+    train, test = fixed_pairs(spark, d)
+    pr = ev.precision_recall_at_k(users, items, test, TOP_K, train)
+    auc = ev.auc_per_user(users, items, test, train)
+    per_user = pr.join(auc, "user", "full_outer")  # avg() skips the nulls of either side
+    return per_user.agg(_r(F.avg("precision")).alias("precision"), _r(F.avg("recall")).alias("recall"),
+                        _r(F.avg("auc")).alias("auc"))
+
+
 QUERIES = {
     "item_similarity_top10": q_item_similarity_top10,
     "similar_items": q_similar_items,
@@ -127,6 +138,7 @@ QUERIES = {
     "suggest_features": q_suggest_features,
     "similar_features": q_similar_features,
     "item_features_of": q_item_features_of,
+    "report_fixed": q_report_fixed,
 }
 
 E_CTE = "e AS (SELECT vec_id AS id, CAST(embedding AS DOUBLE[]) AS vec, label FROM embeddings)"
@@ -153,6 +165,18 @@ def _topk_sql(src: str, key: str, other: str, k: int, extra: str = "") -> str:
 
 
 SQL = {
+    "report_fixed": f"""WITH {I_CTE}, {E_CTE}, {ROLES_CTE}, {PAIRS_CTE},
+c AS (SELECT * FROM scores s WHERE NOT EXISTS (SELECT 1 FROM train t WHERE t."user" = s."user" AND t.item = s.item)),
+top AS (SELECT "user", item FROM (SELECT *, row_number() OVER (PARTITION BY "user" ORDER BY round(score, 6) DESC, item) AS r FROM c) WHERE r <= {TOP_K}),
+hits AS (SELECT "user", count(*) AS h FROM top JOIN test USING ("user", item) GROUP BY "user"),
+npos AS (SELECT "user", count(*) AS n FROM test GROUP BY "user"),
+pr AS (SELECT npos."user", coalesce(h, 0) / {float(TOP_K)} AS precision, coalesce(h, 0) / n AS recall FROM npos LEFT JOIN hits USING ("user")),
+pos AS (SELECT s."user", s.item, round(s.score, 6) AS score FROM scores s JOIN test USING ("user", item)),
+neg AS (SELECT s."user", s.item, round(s.score, 6) AS score FROM scores s
+        WHERE NOT EXISTS (SELECT 1 FROM pairs p WHERE p."user" = s."user" AND p.item = s.item)),
+auc AS (SELECT p."user", sum(CASE WHEN p.score > n.score THEN 1.0 WHEN p.score = n.score THEN 0.5 ELSE 0.0 END) / count(*) AS auc
+        FROM pos p JOIN neg n ON p."user" = n."user" GROUP BY p."user")
+SELECT round(avg(precision), 6) AS precision, round(avg(recall), 6) AS recall, round((SELECT avg(auc) FROM auc), 6) AS auc FROM pr""",
     "item_similarity_top10": f"""WITH {E_CTE},
 s AS (SELECT a.id AS item, b.id AS neighbour, list_cosine_similarity(a.vec, b.vec) AS score
       FROM e a JOIN e b ON a.id <> b.id)
