@@ -4,7 +4,10 @@ Scoring every user against every item is inherently |U| x |I| multiply-adds; wha
 must not happen is materialising those pairs as rows or sending one side whole to
 one task.  The plan here:
 
-* both factor tables are cut into hash blocks of about ``block_rows`` rows
+* both factor tables are cut into hash blocks of about ``block_rows`` rows (the
+  shuffle volume is about |U| * |I| / block_rows vectors per side, so blocks are
+  large; inside a group the scores are computed ``SLICE_ROWS`` left rows at a
+  time, so task memory stays bounded whatever the block size)
   (``lb = pmod(xxhash64(key), A)``, ``rb = pmod(xxhash64(key), B)``);
 * each left row is replicated to the B right blocks and each right row to the A
   left blocks, and the two sides are co-grouped on ``(lb, rb)`` -- an equi-key
@@ -35,7 +38,8 @@ from pyspark.sql import types as T
 
 from ..functions.vectors import normalize
 
-DEFAULT_BLOCK_ROWS = 4096
+DEFAULT_BLOCK_ROWS = 16384
+SLICE_ROWS = 512  # left rows scored per matrix product inside a group: bounds task memory
 
 # The pandas kernels below run on executors; ship this module's code with them so
 # executors need numpy/pandas only, not this package on their path.
@@ -99,34 +103,52 @@ def _stack(vecs: pd.Series) -> np.ndarray:
     return np.vstack([np.asarray(v, dtype=np.float64) for v in vecs.values])
 
 
-def _masked_scores(lpdf: pd.DataFrame, rpdf: pd.DataFrame, exclude_self: bool):
+def _right_data(rpdf: pd.DataFrame):
+    """Per group, once: right keys, right matrix and the exclusion rows."""
     is_ex = rpdf["ex"].to_numpy(dtype=bool)
     items = rpdf[~is_ex]
-    if len(lpdf) == 0 or len(items) == 0:
+    if len(items) == 0:
         return None
-    lkeys = lpdf["lk"].to_numpy()
     rkeys = items["rk"].to_numpy()
-    s = _stack(lpdf["vec"]) @ _stack(items["vec"]).T
+    return rkeys, _stack(items["vec"]), rpdf[is_ex][["xl", "rk"]]
+
+
+def _masked_scores(lpdf: pd.DataFrame, right, exclude_self: bool):
+    if right is None or len(lpdf) == 0:
+        return None
+    rkeys, rmat, ex = right
+    lkeys = lpdf["lk"].to_numpy()
+    s = _stack(lpdf["vec"]) @ rmat.T
     valid = np.isfinite(s)
     if exclude_self:
         valid &= lkeys[:, None] != rkeys[None, :]
-    ex = rpdf[is_ex]
     if len(ex):
         # left keys may repeat (one row per chunk of positives): map through a merge
         rpos = pd.DataFrame({"rk": rkeys, "ri": np.arange(len(rkeys))})
         lpos = pd.DataFrame({"xl": lkeys, "li": np.arange(len(lkeys))})
-        hit = ex[["xl", "rk"]].merge(rpos, on="rk").merge(lpos, on="xl")
+        hit = ex.merge(lpos, on="xl").merge(rpos, on="rk")
         valid[hit["li"].to_numpy(), hit["ri"].to_numpy()] = False
     return lkeys, rkeys, s, valid
 
 
+def _sliced(one_slice, names):
+    def kernel(lpdf: pd.DataFrame, rpdf: pd.DataFrame) -> pd.DataFrame:
+        right = _right_data(rpdf)
+        parts = [one_slice(lpdf.iloc[i:i + SLICE_ROWS], right) for i in range(0, len(lpdf), SLICE_ROWS)]
+        parts = [p for p in parts if p is not None and len(p)]
+        if not parts:
+            return pd.DataFrame({n: [] for n in names})
+        return pd.concat(parts, ignore_index=True)
+    return kernel
+
+
 def _topk_kernel(k: int, decimals: int | None, exclude_self: bool, out_schema: T.StructType):
     names = out_schema.names
 
-    def kernel(lpdf: pd.DataFrame, rpdf: pd.DataFrame) -> pd.DataFrame:
-        got = _masked_scores(lpdf, rpdf, exclude_self)
+    def one_slice(lpdf: pd.DataFrame, right):
+        got = _masked_scores(lpdf, right, exclude_self)
         if got is None:
-            return pd.DataFrame({n: [] for n in names})
+            return None
         lkeys, rkeys, s, valid = got
         r = np.round(s, decimals) if decimals is not None else s.copy()
         r[~valid] = -np.inf
@@ -145,7 +167,7 @@ def _topk_kernel(k: int, decimals: int | None, exclude_self: bool, out_schema: T
         return pd.DataFrame({names[0]: lkeys[cand["row"].to_numpy()], names[1]: cand["rk"].to_numpy(),
                              names[2]: cand["s"].to_numpy()})
 
-    return kernel
+    return _sliced(one_slice, names)
 
 
 def block_top_k(left: DataFrame, right: DataFrame, k: int, *, left_key: str, right_key: str,
@@ -186,10 +208,10 @@ def block_top_k(left: DataFrame, right: DataFrame, k: int, *, left_key: str, rig
 def _auc_kernel(decimals: int | None, out_schema: T.StructType):
     names = out_schema.names
 
-    def kernel(lpdf: pd.DataFrame, rpdf: pd.DataFrame) -> pd.DataFrame:
-        got = _masked_scores(lpdf, rpdf, False)
+    def one_slice(lpdf: pd.DataFrame, right):
+        got = _masked_scores(lpdf, right, False)
         if got is None:
-            return pd.DataFrame({n: [] for n in names})
+            return None
         lkeys, _, s, valid = got
         r = np.round(s, decimals) if decimals is not None else s
         wins = np.zeros(len(lkeys))
@@ -203,7 +225,7 @@ def _auc_kernel(decimals: int | None, out_schema: T.StructType):
             wins[i] = float(np.sum(lo) + 0.5 * np.sum(hi - lo))
         return pd.DataFrame({names[0]: lkeys, names[1]: wins})
 
-    return kernel
+    return _sliced(one_slice, names)
 
 
 def block_auc(left: DataFrame, right: DataFrame, positives: DataFrame, *, left_key: str,

@@ -21,8 +21,10 @@ def _brute_topk(L, R, k, excl=(), self_excl=False, roff=0):
     return out
 
 
-@pytest.mark.parametrize("block_rows", [7, 1000])
-def test_block_top_k_matches_brute_force(spark, block_rows):
+@pytest.mark.parametrize("block_rows,slice_rows", [(7, 512), (1000, 512), (1000, 4)])
+def test_block_top_k_matches_brute_force(spark, monkeypatch, block_rows, slice_rows):
+    from tastebud.operators import blocks
+    monkeypatch.setattr(blocks, "SLICE_ROWS", slice_rows)
     L, ldf = _vecs(spark, 30, 4, 1)
     R, rdf = _vecs(spark, 45, 4, 2, offset=100)
     excl = {(u, 100 + (u * 7) % 45) for u in range(30)}
@@ -43,7 +45,9 @@ def test_ties_break_by_id_and_self_excluded(spark):
     assert [r.nb for r in got] == [1, 2, 3]
 
 
-def test_block_auc_matches_brute_force(spark):
+def test_block_auc_matches_brute_force(spark, monkeypatch):
+    from tastebud.operators import blocks
+    monkeypatch.setattr(blocks, "SLICE_ROWS", 3)
     L, ldf = _vecs(spark, 12, 3, 3)
     R, rdf = _vecs(spark, 25, 3, 4)
     pos = {(u, (u * 3) % 25) for u in range(12)} | {(u, (u * 5 + 1) % 25) for u in range(12)}
