@@ -210,6 +210,15 @@ def fold_in_user(item_factors: DataFrame, liked: DataFrame, rating: float, reg:
     return [float(v) for v in x]
 
 
+def fit_pseudo_user(ratings: DataFrame, liked: DataFrame, rating: float = 5.0, rank: int = 20,
+                    reg: float = 0.05, iters: int = 10, seed: int = 42) -> tuple[AlsFit, Column]:
+    """Refit ALS on all ratings plus a new user (``max(user) + 1``) who gave ``rating``
+    to ``liked`` items.  Returns the fit and the new user's id (a lazy scalar)."""
+    uid: Column = rel.next_user_id(ratings)
+    fit = fit_als(rel.append_ratings(ratings, uid, liked, rating), rank, reg, iters, seed)
+    return fit, uid
+
+
 def recommend_for_liked(ratings: DataFrame, items: DataFrame, liked: DataFrame, n: int = 10,
                         rating: float = 5.0, rank: int = 20, reg: float = 0.05, iters: int = 10,
                         seed: int = 42, mode: str = "refit") -> DataFrame:
@@ -222,7 +231,7 @@ def recommend_for_liked(ratings: DataFrame, items: DataFrame, liked: DataFrame,
     uid: Column = rel.next_user_id(ratings)
     unseen = rel.candidates(uid, items, liked)
     if mode == "refit":
-        fit = fit_als(rel.append_ratings(ratings, uid, liked, rating), rank, reg, iters, seed)
+        fit, _ = fit_pseudo_user(ratings, liked, rating, rank, reg, iters, seed)
         pred = score_als(fit, unseen)
     elif mode == "fold_in":
         fit = fit_als(ratings, rank, reg, iters, seed)
