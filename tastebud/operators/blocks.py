@@ -39,6 +39,7 @@ from pyspark.sql import types as T
 from ..functions.vectors import normalize
 
 DEFAULT_BLOCK_ROWS = 16384
+MIN_BLOCK_ROWS = 256
 SLICE_ROWS = 512  # left rows scored per matrix product inside a group: bounds task memory
 
 # The pandas kernels below run on executors; ship this module's code with them so
@@ -64,8 +65,21 @@ def _prepare(left: DataFrame, right: DataFrame, left_key: str, right_key: str, l
 
 def _layout(left: DataFrame, right: DataFrame, block_rows: int,
             n_left: int | None, n_right: int | None) -> tuple[int, int]:
-    a = _n_blocks(n_left if n_left is not None else left.count(), block_rows)
-    b = _n_blocks(n_right if n_right is not None else right.count(), block_rows)
+    """Block counts (A, B): blocks of at most ``block_rows`` rows, then split further
+    (left side first: it only costs replicating the right side once more per block)
+    until there are about twice as many groups as the cluster runs tasks at once,
+    never below ``MIN_BLOCK_ROWS`` rows per block."""
+    nl = n_left if n_left is not None else left.count()
+    nr = n_right if n_right is not None else right.count()
+    a, b = _n_blocks(nl, block_rows), _n_blocks(nr, block_rows)
+    target = 2 * left.sparkSession.sparkContext.defaultParallelism
+    while a * b < target:
+        if nl / (a + 1) >= MIN_BLOCK_ROWS:
+            a += 1
+        elif nr / (b + 1) >= MIN_BLOCK_ROWS:
+            b += 1
+        else:
+            break
     return a, b
 
 
