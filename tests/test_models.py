@@ -93,3 +93,21 @@ def test_als_wide_ids_and_pseudo_user(spark):
         assert len(out) == 5 and not {r.item for r in out} & {11, 12}
         assert {r.user for r in out} == {2 ** 35 + 40}
     assert als.recommend_by_title(ratings, items, "no such", 5, rank=4, iters=2).count() == 0
+
+
+def test_hybrid_beats_cf_on_cold_items(spark):
+    from planted import GROUPS, ITEMS_PER
+    likes = planted(spark, seed=11).cache()
+    cold = F.col("item") % 5 == 0
+    # cold items keep one training like (their smallest user); the rest of their likes are test
+    first = likes.where(cold).groupBy("item").agg(F.min("user").alias("user"))
+    test = likes.where(cold).join(first, ["item", "user"], "left_anti")
+    train = likes.join(test, ["user", "item"], "left_anti").cache()
+    items = spark.range(GROUPS * ITEMS_PER).withColumnRenamed("id", "item")
+    feats = items.select("item", F.concat(F.lit("group_"), (F.col("item") / ITEMS_PER).cast("int").cast("string"))
+                         .alias("feature"), F.lit(1.0).alias("weight"))
+    kw = dict(loss="bpr", dim=16, epochs=12, learning_rate=0.05, seed=3, items=items)
+    cf = rank_mf.fit_rank_mf(train, **kw)
+    hybrid = rank_mf.fit_rank_mf(train, item_features=feats, indicators="both", **kw)
+    cf_auc, hy_auc = _auc(cf, train, test), _auc(hybrid, train, test)
+    assert hy_auc > cf_auc and hy_auc > 0.75
