@@ -42,9 +42,9 @@ def kcore(df: DataFrame, user_min: int, item_min: int, user: str = "user", item:
     rounds.
     """
     src = df.persist()  # read once: pairs and the final rows both come from it
-    pairs = src.select(user, item).distinct().persist()
-    n = pairs.count()
+    pairs = src.select(user, item).distinct().persist()  # filled by round 1's job
     held = [src, pairs]
+    n = None  # rows after the previous round; a round that keeps them all is the fixed point
     try:
         for r in range(1, max_rounds + 1):
             nxt = kcore_round(pairs, user_min, item_min, user, item)
