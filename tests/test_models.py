@@ -111,3 +111,21 @@ def test_hybrid_beats_cf_on_cold_items(spark):
     hybrid = rank_mf.fit_rank_mf(train, item_features=feats, indicators="both", **kw)
     cf_auc, hy_auc = _auc(cf, train, test), _auc(hybrid, train, test)
     assert hy_auc > cf_auc and hy_auc > 0.75
+
+
+def test_als_subsets_and_tuning(spark):
+    rows = [(u, (u * 7 + k) % 25, float(1 + (u + k) % 5)) for u in range(30) for k in range(6)]
+    ratings = spark.createDataFrame(rows, "user long, item long, rating double")
+    fit = als.fit_als(ratings, rank=3, reg=0.1, iters=3, seed=1)
+    items = spark.createDataFrame([(i, f"t{i}", "g") for i in range(25)], "item long, title string, genres string")
+    recs = als.recommend_users(fit, spark.createDataFrame([(1,), (2,)], "user long"), 4, items)
+    assert recs.select("user").distinct().count() == 2 and "title" in recs.columns
+    by_item = als.recommend_all_items(fit, 2)
+    assert by_item.groupBy("item").count().agg(F.max("count")).first()[0] == 2
+    sub = als.recommend_for_items(fit, items.where("item < 3"), 5)
+    assert {r.item for r in sub.collect()} == {0, 1, 2}
+    grid = als.tune_als(ratings, [2, 3], [0.1], iters=2, seed=1)
+    rows = grid.collect()
+    assert len(rows) == 2 and sum(r.best for r in rows) == 1
+    best = [r for r in rows if r.best][0]
+    assert best.validation_rmse == min(r.validation_rmse for r in rows) and best.test_rmse is not None
