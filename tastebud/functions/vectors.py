@@ -14,12 +14,39 @@ def _col(c) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
-def dot(a, b) -> Column:
-    """Inner product of two equal-length arrays."""
+def dot(a, b, dim: int | None = None) -> Column:
+    """Inner product of two equal-length arrays.
+
+    With ``dim`` known the sum is unrolled into per-component products, which
+    whole-stage codegen compiles; the generic form is a higher-order function,
+    which Spark evaluates interpreted."""
+    if dim is not None:
+        ca, cb = _col(a), _col(b)
+        terms = [ca.getItem(d) * cb.getItem(d) for d in range(dim)]
+        out = terms[0]
+        for t in terms[1:]:
+            out = out + t
+        return out
     return F.aggregate(F.zip_with(_col(a), _col(b), lambda x, y: x * y), F.lit(0.0),
                        lambda acc, x: acc + x)
 
 
+def axpy(ca, a, cb=None, b=None, dim: int | None = None) -> Column:
+    """``ca * a (+ cb * b)`` for scalar columns ``ca``, ``cb`` and vectors ``a``, ``b``
+    (unrolled when ``dim`` is known)."""
+    if dim is not None:
+        comps = []
+        for d in range(dim):
+            v = ca * _col(a).getItem(d)
+            if b is not None:
+                v = v + cb * _col(b).getItem(d)
+            comps.append(v)
+        return F.array(*comps)
+    if b is None:
+        return F.transform(_col(a), lambda x: ca * x)
+    return F.zip_with(_col(a), _col(b), lambda x, y: ca * x + cb * y)
+
+
 def l2_norm(a) -> Column:
     return F.sqrt(F.aggregate(F.transform(_col(a), lambda x: x * x), F.lit(0.0),
                               lambda acc, x: acc + x))
