@@ -11,7 +11,6 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from ..functions.keys import feature_key
 from ..session import cut_lineage
@@ -123,5 +122,3 @@ def feature_options(features: DataFrame, min_items: int | None = None, normalise
         out = out.join(per_item, key).withColumn("weight", F.lit(1.0) / F.col("_k")).drop("_k")
     return out
 
-
-ID_MAP_SCHEMA = T.StructType([T.StructField("id", T.LongType()), T.StructField("idx", T.LongType())])

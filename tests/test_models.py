@@ -129,3 +129,12 @@ def test_als_subsets_and_tuning(spark):
     assert len(rows) == 2 and sum(r.best for r in rows) == 1
     best = [r for r in rows if r.best][0]
     assert best.validation_rmse == min(r.validation_rmse for r in rows) and best.test_rmse is not None
+
+
+def test_minibatches_and_sample_weights(spark, planted_split):
+    train, test = planted_split
+    weighted = train.withColumn("w", F.when(F.col("item") % 2 == 0, 2.0).otherwise(1.0))
+    m = rank_mf.fit_rank_mf(weighted, loss="warp", dim=16, epochs=6, learning_rate=0.05, seed=4, batches=3,
+                            sample_weight="w")
+    assert m.epochs_done == 6
+    assert _auc(m, train, test) > 0.65
