@@ -61,6 +61,10 @@ def main() -> None:
     timed("als_score_rmse", lambda: rmse.update(als.als_rmse(fit, test).first().asDict()))
     timed("als_top10_all_users", lambda: run(als.recommend_all_users(fit, 10)))
 
+    # pseudo-user inference ("recommend by title"): full refit as the reference, and fold-in
+    timed("als_by_title_refit", lambda: run(flagship.q_als_similar_title(spark, sf_dir)))
+    timed("als_by_title_fold_in", lambda: run(flagship.q_als_similar_fold_in(spark, sf_dir)))
+
     timed("item_similarity_top10", lambda: run(fixed.q_item_similarity_top10(spark, sf_dir)))
     timed("recommend_unseen_fixed", lambda: run(fixed.q_recommend_unseen_fixed(spark, sf_dir)))
     timed("precision_recall_at_10", lambda: run(fixed.q_precision_recall_at_10(spark, sf_dir)))
