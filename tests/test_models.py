@@ -138,3 +138,19 @@ def test_minibatches_and_sample_weights(spark, planted_split):
                             sample_weight="w")
     assert m.epochs_done == 6
     assert _auc(m, train, test) > 0.65
+
+
+def test_als_beats_global_mean_on_planted_ratings(spark):
+    from planted import GROUPS, ITEMS_PER
+    likes = planted(spark, seed=5, noise=0.3)
+    ratings = likes.select("user", "item", F.when((F.col("item") / ITEMS_PER).cast("int") == F.col("user") % GROUPS, 5.0)
+                           .otherwise(1.0).alias("rating"))
+    from tastebud.operators.split import hash_split
+    tagged = hash_split(ratings, 0.2, 1)
+    train = tagged.where("split = 'train'").drop("split")
+    test = tagged.where("split = 'test'").drop("split")
+    fit = als.fit_als(train, rank=8, reg=0.1, iters=10, seed=1)
+    model_rmse = als.als_rmse(fit, test).first()["rmse"]
+    mean = train.agg(F.avg("rating")).first()[0]
+    base = test.agg(F.sqrt(F.avg(F.pow(F.col("rating") - F.lit(mean), 2)))).first()[0]
+    assert model_rmse < 0.8 * base
