@@ -17,7 +17,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..session import cut_lineage
+from ..session import cut_lineage, drop_table, materialize
 
 
 def kcore_round(pairs: DataFrame, user_min: int, item_min: int, user: str, item: str) -> DataFrame:
@@ -44,11 +44,16 @@ def kcore(df: DataFrame, user_min: int, item_min: int, user: str = "user", item:
     src = df.persist()  # read once: pairs and the final rows both come from it
     pairs = src.select(user, item).distinct().persist()  # filled by round 1's job
     held = [src, pairs]
+    written: list[str] = []  # round tables, dropped once the result is written
     n = None  # rows after the previous round; a round that keeps them all is the fixed point
     try:
         for r in range(1, max_rounds + 1):
             nxt = kcore_round(pairs, user_min, item_min, user, item)
-            nxt = cut_lineage(nxt) if r % checkpoint_every == 0 else nxt.persist()
+            if r % checkpoint_every == 0:
+                nxt, path = materialize(nxt)
+                written.append(path)
+            else:
+                nxt = nxt.persist()
             held.append(nxt)
             m = nxt.count()
             pairs = nxt
@@ -57,11 +62,14 @@ def kcore(df: DataFrame, user_min: int, item_min: int, user: str = "user", item:
             n = m
         else:
             raise RuntimeError("k-core did not converge")
-        # durable result, independent of the caches released below
-        return cut_lineage(src.join(pairs, [user, item], "left_semi"))
+        # durable result, independent of the caches and round tables released below
+        result = cut_lineage(src.join(pairs, [user, item], "left_semi"))
     finally:
         for h in held:
             h.unpersist()
+    for path in written:
+        drop_table(df.sparkSession, path)
+    return result
 
 
 def kcore_rounds_needed(df: DataFrame, user_min: int, item_min: int, user: str = "user",

@@ -64,6 +64,22 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     return path
 
 
+def materialize(df: DataFrame) -> tuple[DataFrame, str]:
+    """Write ``df`` as a parquet table under the checkpoint folder; return it re-read and its path."""
+    spark = df.sparkSession
+    root = ensure_checkpoint_dir(spark)
+    path = f"{root.rstrip('/')}/tables/{uuid.uuid4().hex}"
+    df.write.mode("error").parquet(path)
+    return spark.read.parquet(path), path
+
+
+def drop_table(spark: SparkSession, path: str) -> None:
+    """Delete a table written by ``materialize`` (the caller guarantees nothing reads it any more)."""
+    jvm = spark.sparkContext._jvm
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
+
+
 def cut_lineage(df: DataFrame) -> DataFrame:
     """Materialise ``df`` as a parquet table in the shared checkpoint folder and read it back.
 
@@ -73,8 +89,4 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     state that depends on two earlier states would make that history grow
     exponentially).  A lost executor only costs the current round.
     """
-    spark = df.sparkSession
-    root = ensure_checkpoint_dir(spark)
-    path = f"{root.rstrip('/')}/tables/{uuid.uuid4().hex}"
-    df.write.mode("error").parquet(path)
-    return spark.read.parquet(path)
+    return materialize(df)[0]
