@@ -63,7 +63,9 @@ def main() -> None:
 
     # pseudo-user inference ("recommend by title"): full refit as the reference, and fold-in
     timed("als_by_title_refit", lambda: run(flagship.q_als_similar_title(spark, sf_dir)))
-    timed("als_by_title_fold_in", lambda: run(flagship.q_als_similar_fold_in(spark, sf_dir)))
+    items = tables.items(spark, sf_dir)
+    timed("als_by_title_fold_in", lambda: run(als.recommend_by_title(
+        tables.ratings(spark, sf_dir), items, catalog.SEARCH_TEXT, 10, reg=flagship.ALS_REG, mode="fold_in", fit=fit)))
 
     timed("item_similarity_top10", lambda: run(fixed.q_item_similarity_top10(spark, sf_dir)))
     timed("recommend_unseen_fixed", lambda: run(fixed.q_recommend_unseen_fixed(spark, sf_dir)))

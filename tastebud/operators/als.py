@@ -221,12 +221,13 @@ def fit_pseudo_user(ratings: DataFrame, liked: DataFrame, rating: float = 5.0, r
 
 def recommend_for_liked(ratings: DataFrame, items: DataFrame, liked: DataFrame, n: int = 10,
                         rating: float = 5.0, rank: int = 20, reg: float = 0.05, iters: int = 10,
-                        seed: int = 42, mode: str = "refit") -> DataFrame:
+                        seed: int = 42, mode: str = "refit", fit: AlsFit | None = None) -> DataFrame:
     """Top ``n`` unseen catalogue items for a new user who rated ``liked`` items ``rating``.
 
     ``mode='refit'``: append the user to the ratings and refit ALS on all of them (the
-    reference's semantics).  ``mode='fold_in'``: fit once without the user and solve
-    only the new user's factor.  Returns ``user, item, prediction, rank, title, genres``.
+    reference's semantics).  ``mode='fold_in'``: keep the item factors of ``fit`` (fitted
+    here when not given, so one model serves many pseudo-users) and solve only the new
+    user's factor.  Returns ``user, item, prediction, rank, title, genres``.
     """
     uid: Column = rel.next_user_id(ratings)
     unseen = rel.candidates(uid, items, liked)
@@ -234,7 +235,7 @@ def recommend_for_liked(ratings: DataFrame, items: DataFrame, liked: DataFrame,
         fit, _ = fit_pseudo_user(ratings, liked, rating, rank, reg, iters, seed)
         pred = score_als(fit, unseen)
     elif mode == "fold_in":
-        fit = fit_als(ratings, rank, reg, iters, seed)
+        fit = fit or fit_als(ratings, rank, reg, iters, seed)
         _, itf = als_factors(fit)
         x = fold_in_user(itf, liked, rating, reg)
         qv = F.array(*[F.lit(v) for v in x])
