@@ -62,3 +62,14 @@ def test_block_auc_matches_brute_force(spark, monkeypatch):
         n = [j for j in range(25) if (u, j) not in pos and (u, j) not in train]
         wins = sum(1.0 if s[u, a] > s[u, b] else 0.5 if s[u, a] == s[u, b] else 0.0 for a in p for b in n)
         assert got[u] == pytest.approx(wins / (len(p) * len(n)))
+
+
+def test_vector_sum_paths_agree(spark):
+    from tastebud.operators.similarity import vector_sum
+    df = spark.createDataFrame([(k % 3, [float(k), 1.0, -k / 2.0], 0.5 + k) for k in range(20)],
+                               "key long, vec array<double>, w double")
+    a = {r.key: r.vec for r in vector_sum(df, "key", "vec", "w").collect()}
+    b = {r.key: r.vec for r in vector_sum(df, "key", "vec", "w", dim=3).collect()}
+    assert a.keys() == b.keys()
+    for k in a:
+        assert a[k] == pytest.approx(b[k])
