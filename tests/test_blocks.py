@@ -73,3 +73,14 @@ def test_vector_sum_paths_agree(spark):
     assert a.keys() == b.keys()
     for k in a:
         assert a[k] == pytest.approx(b[k])
+
+
+def test_empty_sides_and_empty_test(spark):
+    from tastebud.operators import evaluate as ev
+    _, df = _vecs(spark, 10, 3, 7)
+    empty = df.where("id < 0")
+    assert block_top_k(empty, df, 3, left_key="id", right_key="id").count() == 0
+    assert block_top_k(df, empty, 3, left_key="id", right_key="id").count() == 0
+    no_pairs = spark.createDataFrame([], "user long, item long")
+    assert ev.precision_recall_at_k(df, df, no_pairs, 3).count() == 0
+    assert ev.auc_per_user(df, df, no_pairs).count() == 0
