@@ -111,8 +111,9 @@ def q_similar_features(spark, d):
 
 
 def q_item_features_of(spark, d):
-    emb = tables.embedding_vectors(spark, d)
-    wanted = emb.where(F.col("label") == 0).select(F.col("id").alias("item"))
+    """Features of every item that some tag query returned in its top 10."""
+    reps = tables.embedding_vectors(spark, d).select(F.col("id").alias("item"), "vec")
+    wanted = sim.items_for_feature(reps, tag_embeddings(spark, d), TOP_K).select("item").distinct()
     return sim.item_features_of(item_tags(spark, d), wanted)
 
 
@@ -216,6 +217,8 @@ s AS (SELECT e.id AS item, t.feature, list_cosine_similarity(e.vec, t.vec) AS sc
 s AS (SELECT a.feature, b.feature AS neighbour, list_cosine_similarity(a.vec, b.vec) AS score
       FROM tags a JOIN tags b ON a.feature <> b.feature)
 {_topk_sql('s', 'feature', 'neighbour', 3)}""",
-    "item_features_of": f"""WITH {E_CTE}, {TAGS_CTE}
-SELECT item, feature FROM itags WHERE item IN (SELECT id FROM e WHERE label = 0)""",
+    "item_features_of": f"""WITH {E_CTE}, {TAGS_CTE},
+s AS (SELECT t.feature, e.id AS item, list_cosine_similarity(t.vec, e.vec) AS score FROM tags t, e),
+top AS ({_topk_sql('s', 'feature', 'item', TOP_K)})
+SELECT item, feature FROM itags WHERE item IN (SELECT item FROM top)""",
 }
