@@ -6,9 +6,10 @@ order does not change that fixed point, so each round removes both sides and the
 loop stops when a round removes nothing.
 
 Per round: two partial-aggregated ``groupBy.count`` (a user holding a third of the
-rows is pre-counted map-side) and two ``left_semi`` joins against the survivors
-(AQE broadcasts the survivor list while it is small, else shuffles; skewed
-partitions are split by AQE's skew-join rule).  Rounds are cached and every few
+rows is pre-counted map-side) and two ``left_anti`` joins against the ids that fall
+below the minimum (AQE broadcasts that list when it is small -- the usual case after
+the first round -- else shuffles; skewed partitions are split by AQE's skew-join
+rule).  Rounds are cached and every few
 rounds checkpointed to the shared checkpoint folder, so lineage stays short.
 """
 
@@ -21,12 +22,18 @@ from ..session import cut_lineage, drop_table, materialize
 
 
 def kcore_round(pairs: DataFrame, user_min: int, item_min: int, user: str, item: str) -> DataFrame:
-    good_users = (pairs.groupBy(user).agg(F.count(F.lit(1)).alias("_n"))
-                  .where(F.col("_n") >= user_min).select(user))
-    pairs = pairs.join(good_users, user, "left_semi")
-    good_items = (pairs.groupBy(item).agg(F.count(F.lit(1)).alias("_n"))
-                  .where(F.col("_n") >= item_min).select(item))
-    return pairs.join(good_items, item, "left_semi")
+    """One round: drop users below ``user_min``, then items below ``item_min``.
+
+    Rows are removed by an anti-join with the *removed* ids rather than a semi-join
+    with the survivors: after the first round the removed lists are tiny, so AQE
+    broadcasts them and the pair table is not reshuffled (the survivor list would
+    stay as large as the data)."""
+    low_users = (pairs.groupBy(user).agg(F.count(F.lit(1)).alias("_n"))
+                 .where(F.col("_n") < user_min).select(user))
+    pairs = pairs.join(low_users, user, "left_anti")
+    low_items = (pairs.groupBy(item).agg(F.count(F.lit(1)).alias("_n"))
+                 .where(F.col("_n") < item_min).select(item))
+    return pairs.join(low_items, item, "left_anti")
 
 
 def kcore(df: DataFrame, user_min: int, item_min: int, user: str = "user", item: str = "item",
