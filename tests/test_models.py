@@ -154,3 +154,9 @@ def test_als_beats_global_mean_on_planted_ratings(spark):
     mean = train.agg(F.avg("rating")).first()[0]
     base = test.agg(F.sqrt(F.avg(F.pow(F.col("rating") - F.lit(mean), 2)))).first()[0]
     assert model_rmse < 0.8 * base
+
+
+def test_logistic_learns_planted_groups(spark, planted_split):
+    train, test = planted_split
+    m = rank_mf.fit_rank_mf(train, loss="logistic", dim=32, epochs=12, learning_rate=0.05, seed=1)
+    assert _auc(m, train, test) > 0.75
