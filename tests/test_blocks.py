@@ -84,3 +84,18 @@ def test_empty_sides_and_empty_test(spark):
     no_pairs = spark.createDataFrame([], "user long, item long")
     assert ev.precision_recall_at_k(df, df, no_pairs, 3).count() == 0
     assert ev.auc_per_user(df, df, no_pairs).count() == 0
+
+
+def test_auc_invariant_to_monotone_score_map_and_bounded(spark):
+    from tastebud.operators import evaluate as ev
+    _, users = _vecs(spark, 15, 3, 11)
+    _, items = _vecs(spark, 40, 3, 12, offset=100)
+    test = spark.createDataFrame([(u, 100 + (u * 7 + k) % 40) for u in range(15) for k in range(3)],
+                                 "user long, item long")
+    scaled = users.select("id", F.transform("vec", lambda x: x * 3.0).alias("vec"))
+    a = {r.user: r.auc for r in ev.auc_per_user(users, items, test, decimals=None).collect()}
+    b = {r.user: r.auc for r in ev.auc_per_user(scaled, items, test, decimals=None).collect()}
+    assert a.keys() == b.keys() and all(a[u] == pytest.approx(b[u]) for u in a)
+    assert all(0.0 <= v <= 1.0 for v in a.values())
+    pr = ev.precision_recall_at_k(users, items, test, 5).collect()
+    assert all(0.0 <= r.precision <= 1.0 and 0.0 <= r.recall <= 1.0 for r in pr)
