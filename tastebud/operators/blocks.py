@@ -28,6 +28,7 @@ from __future__ import annotations
 
 import math
 import sys
+from concurrent.futures import ThreadPoolExecutor
 
 import numpy as np
 import pandas as pd
@@ -69,8 +70,13 @@ def _layout(left: DataFrame, right: DataFrame, block_rows: int,
     (left side first: it only costs replicating the right side once more per block)
     until there are about twice as many groups as the cluster runs tasks at once,
     never below ``MIN_BLOCK_ROWS`` rows per block."""
-    nl = n_left if n_left is not None else left.count()
-    nr = n_right if n_right is not None else right.count()
+    if n_left is None and n_right is None:
+        with ThreadPoolExecutor(max_workers=2) as pool:  # two independent count jobs
+            fl, fr = pool.submit(left.count), pool.submit(right.count)
+            nl, nr = fl.result(), fr.result()
+    else:
+        nl = n_left if n_left is not None else left.count()
+        nr = n_right if n_right is not None else right.count()
     a, b = _n_blocks(nl, block_rows), _n_blocks(nr, block_rows)
     target = 2 * left.sparkSession.sparkContext.defaultParallelism
     while a * b < target:
