@@ -160,3 +160,11 @@ def test_logistic_learns_planted_groups(spark, planted_split):
     train, test = planted_split
     m = rank_mf.fit_rank_mf(train, loss="logistic", dim=32, epochs=12, learning_rate=0.05, seed=1)
     assert _auc(m, train, test) > 0.75
+
+
+def test_tune_als_parallel_matches_sequential(spark):
+    rows = [(u, (u * 7 + k) % 25, float(1 + (u + k) % 5)) for u in range(30) for k in range(6)]
+    ratings = spark.createDataFrame(rows, "user long, item long, rating double")
+    seq = sorted(tuple(r) for r in als.tune_als(ratings, [2, 3], [0.1, 0.3], iters=2, seed=1).collect())
+    par = sorted(tuple(r) for r in als.tune_als(ratings, [2, 3], [0.1, 0.3], iters=2, seed=1, parallel=4).collect())
+    assert seq == par
