@@ -168,3 +168,13 @@ def test_tune_als_parallel_matches_sequential(spark):
     seq = sorted(tuple(r) for r in als.tune_als(ratings, [2, 3], [0.1, 0.3], iters=2, seed=1).collect())
     par = sorted(tuple(r) for r in als.tune_als(ratings, [2, 3], [0.1, 0.3], iters=2, seed=1, parallel=4).collect())
     assert seq == par
+
+
+def test_random_search_parallel_matches_sequential(spark, planted_split):
+    from tastebud.operators import tune
+    train, test = planted_split
+    space = [("epochs", 1, 2, False), ("learning_rate", 1e-2, 1e-1, True), ("dim", 4, 8, False),
+             ("alpha", 1e-6, 1e-3, True)]
+    seq = sorted(tuple(r) for r in tune.random_search(train, test, 2, 3, 5, "bpr", space).collect())
+    par = sorted(tuple(r) for r in tune.random_search(train, test, 2, 3, 5, "bpr", space, parallel=2).collect())
+    assert seq == par and sum(r[-1] for r in seq) == 1
