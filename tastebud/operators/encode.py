@@ -16,18 +16,15 @@ from ..functions.keys import feature_key
 from ..session import cut_lineage
 
 
-def _partitions(df: DataFrame, num_partitions: int | None) -> int:
-    if num_partitions:
-        return num_partitions
-    return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions", "200"))
-
-
 def index_by_order(df: DataFrame, order: list[Column | str], out: str = "idx",
                    num_partitions: int | None = None) -> DataFrame:
     """Attach a 0-based position in the total order ``order`` (rows must be distinct on it)."""
-    n = _partitions(df, num_partitions)
     order_cols = [F.col(c) if isinstance(c, str) else c for c in order]
-    ranged = (df.repartitionByRange(n, *order_cols).sortWithinPartitions(*order_cols)
+    # Without an explicit count AQE may coalesce the range partitions; it only merges
+    # adjacent ranges, so partition order still follows the key order.
+    ranged = (df.repartitionByRange(num_partitions, *order_cols) if num_partitions
+              else df.repartitionByRange(*order_cols))
+    ranged = (ranged.sortWithinPartitions(*order_cols)
               .withColumn("_pid", F.spark_partition_id())
               .withColumn("_mid", F.monotonically_increasing_id()))
     # Freeze partition ids / local positions before reading them twice.
