@@ -66,7 +66,7 @@ def suspicious_range(candidate: Column) -> Column:
     """struct(first, last): offsets of the first and last suspicious window of a candidate; -1 if there is none."""
     n = len(ALPHABET)
     codes = F.transform(F.split(candidate, ""), lambda c: F.instr(F.lit(ALPHABET), c))
-    steps = F.filter(F.arrays_zip(codes.alias("enters"), F.slice(F.concat(F.array_repeat(F.lit(0), WINDOW), codes), F.lit(1), F.length(candidate)).alias("leaves")), lambda x: x["0"].isNotNull())
+    steps = F.filter(F.arrays_zip(codes.alias("enters"), F.slice(F.concat(F.array_repeat(F.lit(0), WINDOW), codes), F.lit(1), F.length(candidate)).alias("leaves")), lambda x: x["enters"].isNotNull())
     clog = _literals(_CLOG)
     # character classes by code (1-based; 0 is no character)
     hexes = _literals([0] + [c in "0123456789abcdef" or c in "ABCDEF" for c in ALPHABET])
@@ -74,7 +74,7 @@ def suspicious_range(candidate: Column) -> Column:
     at = lambda a, i: F.element_at(a, i + 1)
 
     def step(s, x):
-        a, b = x["0"], x["1"]
+        a, b = x["enters"], x["leaves"]
         count = s["count"]
         old = F.element_at(count, F.greatest(b, F.lit(1)))
         # the leaving character first, so that the entering one sees the counts without it
