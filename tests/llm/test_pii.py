@@ -83,7 +83,8 @@ def test_network_against_brute_force(spark):
     x, y = feistel("ssn", 122, 44 * 9999 + 6788, 898, 99 * 9999)
     assert ssn == f"{x + 1 if x < 665 else x + 2:03}-{y // 9999 + 1:02}-{y % 9999 + 1:04}"
     x, y = feistel("phone+1", 212, 5551234, 1000, 10_000_000)
-    assert phone == f"+1 ({x:03}) {y:07}"[:12] + f"{y:07}"[3:].rjust(0) if False else phone == f"+1 ({x:03}) {f'{y:07}'[:3]}-{f'{y:07}'[3:]}"
+    line = f"{y:07}"
+    assert phone == f"+1 ({x:03}) {line[:3]}-{line[3:]}"
 
 
 def test_small_domain_is_a_permutation(spark):

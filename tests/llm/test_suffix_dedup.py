@@ -84,7 +84,7 @@ def corpus(seed, n=60):
             t = rnd.choice(rows)[1] or ""
             k = rnd.randint(0, len(t))
             t = rnd.choice([t, t[:k] + "!" + t[k:], t[k:] + t[:k], t + t])
-        rows.append((i * 3 % n, t))
+        rows.append((i * 7 % n, t))
     return rows
 
 
