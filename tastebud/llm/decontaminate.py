@@ -115,4 +115,4 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
 def decontamination_stage(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", **options) -> DataFrame:
     """``docs`` without the documents that hold a benchmark item; same columns."""
     leaks = contaminated(docs, benchmark, id_col, **options).select(F.col("doc_id").alias("leaking_doc")).distinct()
-    return docs.join(leaks, F.col(id_col) == F.col("leaking_doc"), "left_anti")
+    return docs.join(leaks, docs[id_col] == leaks["leaking_doc"], "left_anti")

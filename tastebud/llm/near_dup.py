@@ -170,44 +170,74 @@ def _links_of(texts: list[str], n: int, threshold: float) -> np.ndarray:
 LINK_SCHEMA = "kind string, a long, b long, n long"
 
 
-def _compare(pdf, n: int, threshold: float, trees: int, depth: int, k: int, previous: int):
-    """One group, a bucket chunk or two: links per row, edges of a spanning forest, similarities found."""
-    import pandas as pd
-    tree = int(pdf["tree"].iloc[0])
-    two = bool((pdf["lo"] != pdf["hi"]).iloc[0])
-    side = (pdf["chunk"] == pdf["hi"]).to_numpy() & two
-    v = pdf["v"].to_numpy()
-    copies = pdf["copies"].to_numpy()
-    sig = np.frombuffer(b"".join(pdf["signature"]), np.uint16).reshape(len(v), trees, depth)
+def _compare(tree: int, side: np.ndarray, v: np.ndarray, copies: np.ndarray, signatures: list[bytes], texts: list[str],
+             n: int, threshold: float, trees: int, depth: int, k: int, previous: int) -> list[tuple]:
+    """One group, a bucket's chunk or two of them (``side``): links per row, edges of a spanning forest, similarities found."""
+    sig = np.frombuffer(b"".join(signatures), np.uint16).reshape(len(v), trees, depth)
     open_ = np.zeros((len(v), len(v)), bool)
     open_[np.triu_indices(len(v), 1)] = True
-    if two:
+    if side.any():
         open_ &= side[:, None] != side[None, :]
+    # matched before: deeper in any tree, as deep in an earlier tree
     for t in range(trees):
-        deep = previous if t >= tree else k  # matched before: deeper in any tree, as deep in an earlier tree
+        deep = previous if t >= tree else k
         if deep:
-            key = np.unique(np.ascontiguousarray(sig[:, t, :deep]).view(np.dtype((np.void, 2 * deep))).ravel(), return_inverse=True)[1]
-            open_ &= key[:, None] != key[None, :]
-    rows = []
-    if open_.any():
-        sim = np.where(open_, _links_of(pdf["text"].tolist(), n, threshold), 0)
-        i, j = np.nonzero(sim)
-        if len(i):
-            links = np.bincount(i, weights=copies[j], minlength=len(v)) + np.bincount(j, weights=copies[i], minlength=len(v))
-            rows += [("links", int(v[x]), None, int(links[x])) for x in np.flatnonzero(links)]
-            label = np.arange(len(v))
-            while True:
-                new = label.copy()
-                np.minimum.at(new, i, label[j])
-                np.minimum.at(new, j, label[i])
-                new = np.minimum(new, new[new])
-                if (new == label).all():
-                    break
-                label = new
-            rows += [("edge", int(v[label[x]]), int(v[x]), None) for x in np.flatnonzero(label != np.arange(len(v)))]
-            bins, found = np.unique(np.floor(sim[i, j] * 100).astype(int), return_counts=True)
-            rows += [("found", int(x), None, int(c)) for x, c in zip(bins, found)]
-    return pd.DataFrame(rows, columns=["kind", "a", "b", "n"]).astype({"a": "Int64", "b": "Int64", "n": "Int64"})
+            if len(v) <= 64:
+                open_ &= (sig[:, None, t, :deep] != sig[None, :, t, :deep]).any(axis=2)
+            else:
+                key = np.unique(np.ascontiguousarray(sig[:, t, :deep]).view(np.dtype((np.void, 2 * deep))).ravel(), return_inverse=True)[1]
+                open_ &= key[:, None] != key[None, :]
+    if not open_.any():
+        return []
+    sim = np.where(open_, _links_of(texts, n, threshold), 0)
+    i, j = np.nonzero(sim)
+    if not len(i):
+        return []
+    links = np.bincount(i, weights=copies[j], minlength=len(v)) + np.bincount(j, weights=copies[i], minlength=len(v))
+    rows = [("links", int(v[x]), None, int(links[x])) for x in np.flatnonzero(links)]
+    label = np.arange(len(v))
+    while True:
+        new = label.copy()
+        np.minimum.at(new, i, label[j])
+        np.minimum.at(new, j, label[i])
+        new = np.minimum(new, new[new])
+        if (new == label).all():
+            break
+        label = new
+    rows += [("edge", int(v[label[x]]), int(v[x]), None) for x in np.flatnonzero(label != np.arange(len(v)))]
+    bins, found = np.unique(np.floor(sim[i, j] * 100).astype(int), return_counts=True)
+    return rows + [("found", int(x), None, int(c)) for x, c in zip(bins, found)]
+
+
+def _compare_groups(batches, *how):
+    """Rows sorted by group (tree, prefix, lo, hi), then chunk, v, copies, signature, text: the groups' results."""
+    schema = pa.schema([("kind", pa.string()), ("a", pa.int64()), ("b", pa.int64()), ("n", pa.int64())])
+    current, held, done = None, [], []
+
+    def close():
+        chunk, v, copies, signatures, texts = zip(*held)
+        side = np.array([c == current[3] for c in chunk]) & (current[2] != current[3])
+        done.extend(_compare(current[0], side, np.array(v, np.int64), np.array(copies, np.int64), signatures, texts, *how))
+
+    def out():
+        batch = pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*done), schema.types)], schema=schema)
+        done.clear()
+        return batch
+
+    for batch in batches:
+        for tree, prefix, lo, hi, *row in zip(*(c.to_pylist() for c in batch.columns)):
+            group = (tree, prefix, lo, hi)
+            if group != current:
+                if held:
+                    close()
+                current, held = group, []
+            held.append(row)
+        if done:
+            yield out()
+    if held:
+        close()
+    if done:
+        yield out()
 
 
 def estimated_recall(found: dict[int, int], depth: int, trees: int) -> float:
@@ -287,7 +317,9 @@ class Forest:
         cells = (members.select("*", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)).alias("other"))
                  .select("v", "tree", "prefix", "chunk", F.least("chunk", "other").alias("lo"), F.greatest("chunk", "other").alias("hi")))
         full = cells.join(self.texts, "v")
-        return full.groupBy("tree", "prefix", "lo", "hi").applyInPandas(lambda pdf: _compare(pdf, n, threshold, trees, depth, k, previous), LINK_SCHEMA)
+        dealt = full.repartition("tree", "prefix", "lo", "hi").sortWithinPartitions("tree", "prefix", "lo", "hi", "chunk", "v")
+        return dealt.select("tree", "prefix", "lo", "hi", "chunk", "v", "copies", "signature", "text").mapInArrow(
+            lambda it: _compare_groups(it, n, threshold, trees, depth, k, previous), LINK_SCHEMA)
 
     def run(self, target: float = TARGET_RECALL, depths: tuple[int, ...] = DEPTHS) -> DataFrame:
         """All link rows, prefixes shortened until the estimated recall reaches the target."""
@@ -325,4 +357,4 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 def near_duplicate_stage(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
     """``docs`` with one document (the smallest doc_id) of each class; same columns."""
     gone = near_duplicates(docs, id_col, text_col, **options).where("class_id <> doc_id").select(F.col("doc_id").alias("duplicate_doc")).distinct()
-    return docs.join(gone, F.col(id_col) == F.col("duplicate_doc"), "left_anti")
+    return docs.join(gone, docs[id_col] == gone["duplicate_doc"], "left_anti")

@@ -153,9 +153,11 @@ def read_archives(spark, path: str) -> DataFrame:
     records, _ = materialize(pieces.mapInArrow(_parse, RECORD))
     targets = (records.where("record_type = 'response'").select(F.col("record_id").alias("target"), F.col("page_id").alias("refers_to"),
                                                                 F.col("payload_bytes").alias("b"), F.col("payload_digest").alias("g")).dropDuplicates(["target"]))
-    both = records.join(targets, F.col("refers_id") == F.col("target"), "left")
-    return both.select("page_id", "record_type", "refers_to", F.coalesce("payload_bytes", "b").alias("payload_bytes"),
-                       F.coalesce("payload_digest", "g").alias("payload_digest"), "url", "archive", "start", "length")
+    # responses stay where they are; only revisits look for what they refer to
+    revisits = records.where("record_type <> 'response'").join(targets, F.col("refers_id") == F.col("target"), "left")
+    columns = ["page_id", "record_type", "refers_to", "payload_bytes", "payload_digest", "url", "archive", "start", "length"]
+    found = revisits.withColumns({"payload_bytes": F.coalesce("payload_bytes", "b"), "payload_digest": F.coalesce("payload_digest", "g")}).select(*columns)
+    return records.where("record_type = 'response'").withColumn("refers_to", F.lit(None).cast("long")).select(*columns).unionByName(found)
 
 
 # ------------------------------------------------------------------------ index
