@@ -43,10 +43,12 @@ from . import textops as tx
 
 MIN_LEN = 100
 GRAM = 32
-#: different contexts of one anchor that one suffix array holds at most (about 9 MB)
-HOT = 60_000
-#: bytes of one suffix array, about
-ARRAY_BYTES = 4 << 20
+#: different contexts of one anchor that one suffix array holds at most (about 2 MB)
+HOT = 15_000
+#: bytes of one suffix array, about; its working memory is some 150 times that
+ARRAY_BYTES = 1 << 20
+#: bytes scanned for anchors at once
+SCAN_BYTES = 1 << 20
 SEPARATOR = 0xFF  # never occurs in UTF-8
 
 
@@ -168,8 +170,8 @@ def common_prefixes(text: np.ndarray, order: np.ndarray, limit: int) -> np.ndarr
 def repeated_starts(text: np.ndarray, room: np.ndarray, place: np.ndarray, min_len: int) -> np.ndarray:
     """Positions whose ``min_len``-byte string also occurs at an earlier place.
 
-    ``room``: bytes from each position to the end of its context; ``place``: (document, start) as
-    a rank for each position; equal ranks are the same place.
+    ``room``: bytes from each position to the end of its context; ``place``: (document, start) of
+    each position as one number; equal numbers are the same place.
     """
     order = suffix_order(text, min_len)
     shared = common_prefixes(text, order, min_len)
@@ -243,9 +245,9 @@ def _emit_anchors(batches, min_len: int, gram: int):
     overlap = min_len - 1
     for batch in batches:
         ids = batch.column(0).to_numpy(zero_copy_only=False)
-        for a, b, data, offsets in tx.text_blocks(batch.column(1), 2 * tx.BLOCK_BYTES):
+        for a, b, data, offsets in tx.text_blocks(batch.column(1), SCAN_BYTES):
             # a text longer than a block is scanned in overlapping pieces
-            piece = 4 * tx.BLOCK_BYTES
+            piece = 2 * SCAN_BYTES
             cuts = [0] if len(data) <= piece else range(0, len(data) - overlap, piece)
             for cut in cuts:
                 part = data[cut: cut + piece + overlap] if len(data) > piece else data
@@ -308,8 +310,8 @@ def _array_repeats(batches, min_len: int, size: int):
         base = np.cumsum(length + 1) - (length + 1)
         which = np.repeat(np.arange(len(raw)), length + 1)
         inside = np.arange(len(text)) - base[which]
-        rank = _ranks(doc[which], start[which] + inside)
-        found = np.sort(repeated_starts(text, length[which] - inside, rank, min_len))
+        place = (np.unique(doc, return_inverse=True)[1][which] << 40) + start[which] + inside
+        found = np.sort(repeated_starts(text, length[which] - inside, place, min_len))
         if not len(found):
             return None
         new = np.append(True, (found[1:] != found[:-1] + 1) | (which[found[1:]] != which[found[:-1]]))
@@ -330,15 +332,6 @@ def _array_repeats(batches, min_len: int, size: int):
         yield out
 
 
-def _ranks(doc: np.ndarray, start: np.ndarray) -> np.ndarray:
-    """Rank of each (doc, start); equal pairs share one."""
-    by = np.lexsort((start, doc))
-    d, s = doc[by], start[by]
-    out = np.empty(len(by), np.int64)
-    out[by] = np.cumsum(np.append(False, (d[1:] != d[:-1]) | (s[1:] != s[:-1])))
-    return out
-
-
 def _strings(batches, min_len: int):
     """Every string of each context: (h, g: its 128-bit hash, doc, start)."""
     values, other = tx.byte_values(False, 23), tx.byte_values(False, 24)

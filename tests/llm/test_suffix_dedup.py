@@ -114,7 +114,7 @@ def test_defined_cases(spark):
 
 
 def test_text_longer_than_a_block(spark, monkeypatch):
-    monkeypatch.setattr(sd.tx, "BLOCK_BYTES", 700)
+    monkeypatch.setattr(sd, "SCAN_BYTES", 700)
     rows = corpus(9, 12)
     rows += [(100, " ".join(t for _, t in rows)), (101, " ".join(t for _, t in rows[::-1]))]
     assert run(spark, rows) == brute(rows, 100)
