@@ -7,12 +7,11 @@ one model per language.  Models are stored as sorted arrays of hashed n-grams be
 probabilities, with a directory over the leading hash bits.  While all entries fit
 ``MAX_ENTRIES`` the arrays are broadcast; beyond it scoring is a join on (language, n-gram).
 
-A document is kept if it passes the base rules and its mean log perplexity lies inside its
-language's band.  The band is ``median - LOW * spread .. median + HIGH * spread``, where spread
-is the distance between the median and the lower quartile of the language's documents that pass
-the base rules, all of them counted (perplexities of junk stretch the upper tail, so the spread
-is taken below the median).  Means over few bytes scatter more, so both limits widen by
-``1 + SHORT_BYTES / n_bytes``.
+A document is kept if it passes the base rules and its log perplexity per word, ``-log p(text) /
+n_words``, lies inside its language's band, ``median - LOW * spread .. median + HIGH * spread``.
+Median and spread (the distance between the quartiles) are those of the language's documents that
+pass the base rules, all of them counted.  Means over short texts scatter more, so both limits
+widen by ``1 + SHORT_BYTES / n_bytes``.
 
 Defined cases: null or empty text has no words and fails the base rules; a null language is a
 language of its own; repeated rows are counted and judged one by one; an empty table gives an
@@ -33,7 +32,7 @@ ORDER = 5
 #: broadcast bound: 12 bytes an entry
 MAX_ENTRIES = 6_000_000
 MIN_WORDS, MAX_REPEAT_PERCENT, WINDOW = 20, 30, 8
-LOW, HIGH, SHORT_BYTES = 8.0, 5.0, 400
+LOW, HIGH, SHORT_BYTES = 9.0, 4.5, 400
 _SYMBOL = np.zeros(256, bool)
 _SYMBOL[list(b"#*$%&|<>")] = True
 
@@ -134,14 +133,19 @@ def kneser_ney(counts: DataFrame, order: int = ORDER) -> DataFrame:
 class SortedHashes:
     """Hashed n-grams in order, their log probabilities, and a directory by leading bits."""
 
-    def __init__(self, keys: np.ndarray, values: np.ndarray):
+    def __init__(self, parts: tuple):
+        self.h, self.values, self.first, shift, self.rest = parts
+        self.shift = tx.U(shift)
+
+    @staticmethod
+    def parts(keys: np.ndarray, values: np.ndarray) -> tuple:
+        """What a table is made of: plain arrays, which is what is broadcast."""
         h = tx.mix(keys)
         by = np.argsort(h)
-        self.h, self.values = h[by], values[by].astype(np.float32)
-        self.shift = tx.U(64 - max(1, int(len(h)).bit_length()))
-        top = np.arange((1 << (64 - int(self.shift))) + 1, dtype=np.uint64)
-        self.first = np.searchsorted(self.h >> self.shift, top).astype(np.int32)
-        self.rest = float(self.values.min()) if len(h) else float(np.log(1 / 256))
+        h, values = h[by], values[by].astype(np.float32)
+        bits = max(1, int(len(h)).bit_length())
+        first = np.searchsorted(h >> tx.U(64 - bits), np.arange((1 << bits) + 1, dtype=np.uint64)).astype(np.int32)
+        return h, values, first, 64 - bits, float(values.min()) if len(h) else float(np.log(1 / 256))
 
     def find(self, keys: np.ndarray) -> np.ndarray:
         h = tx.mix(keys)
@@ -202,7 +206,7 @@ _METRIC_NAMES = [m.split()[0] for m in METRICS.split(", ")]
 
 def _measure(batches, n_in: int, order: int, shared):
     """Metrics of each row from its (lang, text), the last two columns, after its first ``n_in`` columns."""
-    models = shared.value if shared is not None else {}
+    models = {k: SortedHashes(p) for k, p in shared.value.items()} if shared is not None else {}
     for batch in batches:
         codes, names = _language_codes(batch.column(n_in))
         parts = []
@@ -240,12 +244,12 @@ def _doc_grams(batches, order: int):
                  pa.array(tx.as_long(g[first])), pa.array(np.diff(np.append(first, len(g))))], names=["r", "lang", "gram", "n"])
 
 
-def load_models(model: DataFrame) -> dict[str, SortedHashes]:
-    """Sorted hash arrays per language; the caller has checked the number of entries."""
+def load_models(model: DataFrame) -> dict[str, tuple]:
+    """The parts of each language's sorted hash arrays; the caller has checked the number of entries."""
     t = model.select("lang", "gram", F.log("p").cast("float").alias("v")).toArrow()
     codes, names = _language_codes(t.column("lang"))
     grams, values = t.column("gram").to_numpy().astype(np.uint64), t.column("v").to_numpy()
-    return {name: SortedHashes(grams[codes == c], values[codes == c]) for c, name in enumerate(names)}
+    return {name: SortedHashes.parts(grams[codes == c], values[codes == c]) for c, name in enumerate(names)}
 
 
 def measure(docs: DataFrame, keep: list[str], lang_col: str = "lang", text_col: str = "text", order: int = ORDER, max_entries: int = MAX_ENTRIES) -> DataFrame:
@@ -273,13 +277,13 @@ def measure(docs: DataFrame, keep: list[str], lang_col: str = "lang", text_col:
 
 def judge(measured: DataFrame, lang: str, low: float = LOW, high: float = HIGH) -> DataFrame:
     """Adds base_failed, log_perplexity and kept."""
-    x = F.when(F.col("n_bytes") > 0, -F.col("log_prob") / F.col("n_bytes")).otherwise(F.lit(0.0))
+    x = F.when(F.col("n_words") > 0, -F.col("log_prob") / F.greatest("n_words", F.lit(1))).otherwise(F.lit(0.0))
     failed = (F.col("n_words") < MIN_WORDS) | (100 * F.col("n_repeat_words") > MAX_REPEAT_PERCENT * F.col("n_words"))
     rows = measured.withColumns({"base_failed": failed, "log_perplexity": x})
-    bands = (rows.where(~F.col("base_failed")).groupBy(lang).agg(F.percentile_approx("log_perplexity", [0.25, 0.5], 10000).alias("q"))
-             .select(F.col(lang).alias("band_lang"), F.col("q")[1].alias("median"), (F.col("q")[1] - F.col("q")[0]).alias("spread")))
+    bands = (rows.where(~F.col("base_failed")).groupBy(lang).agg(F.percentile_approx("log_perplexity", [0.25, 0.5, 0.75], 10000).alias("q"))
+             .select(F.col(lang).alias("band_lang"), F.col("q")[1].alias("median"), (F.col("q")[2] - F.col("q")[0]).alias("spread")))
     rows = rows.join(bands, F.col(lang) == F.col("band_lang"), "left")
-    wide = F.col("spread") * (1 + SHORT_BYTES / F.col("n_bytes"))
+    wide = F.col("spread") * (1 + SHORT_BYTES / F.greatest("n_bytes", F.lit(1)))
     inside = F.col("log_perplexity").between(F.col("median") - low * wide, F.col("median") + high * wide)
     return rows.withColumn("kept", ~F.col("base_failed") & F.coalesce(inside, F.lit(False))).drop("band_lang")
 

@@ -110,11 +110,11 @@ def test_scores_and_both_ways_of_scoring(spark):
 def test_hash_arrays():
     rnd = np.random.default_rng(1)
     keys = np.unique(rnd.integers(0, 1 << 40, 5000).astype(np.uint64))
-    table = quality.SortedHashes(keys, -np.arange(1, len(keys) + 1).astype(np.float32))
+    table = quality.SortedHashes(quality.SortedHashes.parts(keys, -np.arange(1, len(keys) + 1).astype(np.float32)))
     pick = rnd.permutation(len(keys))
     assert (table.find(keys[pick]) == -(pick + 1)).all()
     assert (table.find(np.array([1 << 41], np.uint64)) == -len(keys)).all()
-    assert quality.SortedHashes(keys[:0], np.zeros(0, np.float32)).find(keys[:3]).shape == (3,)
+    assert quality.SortedHashes(quality.SortedHashes.parts(keys[:0], np.zeros(0, np.float32))).find(keys[:3]).shape == (3,)
 
 
 def test_junk_is_rejected_and_prose_kept(spark):
