@@ -29,6 +29,8 @@ from ..session import materialize
 from . import textops as tx
 
 ORDER = 5
+#: bytes whose n-grams are made at once (some 100 bytes of working memory each)
+GRAM_BLOCK = 1 << 19
 #: broadcast bound: 12 bytes an entry
 MAX_ENTRIES = 6_000_000
 MIN_WORDS, MAX_REPEAT_PERCENT, WINDOW = 20, 30, 8
@@ -57,28 +59,33 @@ def _language_codes(column: pa.Array) -> tuple[np.ndarray, list]:
     return coded.indices.to_numpy(zero_copy_only=False).astype(np.uint64), coded.dictionary.to_pylist()
 
 
-def _count(batches, order: int, flush: int = 3_000_000):
-    """(lang, gram, n), summed within a task as far as memory allows."""
-    held: dict = {}
+def _merged(parts: list[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.ndarray]:
+    """One sorted list of keys with summed counts."""
+    k, n = (np.concatenate(x) for x in zip(*parts))
+    by = np.argsort(k, kind="stable")
+    k, n = k[by], n[by]
+    first = np.flatnonzero(np.append(True, k[1:] != k[:-1]))
+    return k[first], np.add.reduceat(n, first)
 
-    def merge(lang, keys, n):
-        if lang in held:
-            k = np.concatenate([held[lang][0], keys])
-            c = np.concatenate([held[lang][1], n])
-            by = np.argsort(k, kind="stable")
-            k, c = k[by], c[by]
-            first = np.flatnonzero(np.append(True, k[1:] != k[:-1]))
-            keys, n = k[first], np.add.reduceat(c, first)
-        held[lang] = (keys, n)
+
+def _count(batches, order: int, pending: int = 1_000_000, flush: int = 2_500_000):
+    """(lang, gram, n), summed within a task as far as bounded memory allows."""
+    held: dict[str, list] = {}  # per language: merged counts, then blocks' counts not merged yet
+    waiting = 0
+
+    def merge():
+        for lang, parts in held.items():
+            held[lang] = [_merged(parts)]
 
     def out():
-        for lang, (keys, n) in held.items():
-            yield pa.RecordBatch.from_arrays([pa.array([lang] * len(keys), pa.string()), pa.array(tx.as_long(keys)), pa.array(n)], names=["lang", "gram", "n"])
+        for lang, parts in held.items():
+            for keys, n in parts:
+                yield pa.RecordBatch.from_arrays([pa.array([lang]).take(pa.array(np.zeros(len(keys), np.int32))), pa.array(tx.as_long(keys)), pa.array(n)], names=["lang", "gram", "n"])
         held.clear()
 
     for batch in batches:
         codes, names = _language_codes(batch.column(0))
-        for a, b, data, offsets in tx.text_blocks(batch.column(1), 4 * tx.BLOCK_BYTES):
+        for a, b, data, offsets in tx.text_blocks(batch.column(1), GRAM_BLOCK):
             if not len(data):
                 continue
             g = _grams(data, offsets, order) | (np.repeat(codes[a:b], np.diff(offsets)) << tx.U(8 * order))
@@ -89,9 +96,14 @@ def _count(batches, order: int, flush: int = 3_000_000):
             code = g >> tx.U(8 * order)
             for c in np.unique(code):
                 own = code == c
-                merge(names[int(c)], g[own] & tx.U((1 << 8 * order) - 1), n[own])
-            if sum(len(k) for k, _ in held.values()) > flush:
-                yield from out()
+                held.setdefault(names[int(c)], []).append((g[own] & tx.U((1 << 8 * order) - 1), n[own]))
+            waiting += len(g)
+            if waiting > pending:
+                merge()
+                waiting = 0
+                if sum(len(p[0][0]) for p in held.values()) > flush:
+                    yield from out()
+    merge()
     yield from out()
 
 
@@ -210,7 +222,7 @@ def _measure(batches, n_in: int, order: int, shared):
     for batch in batches:
         codes, names = _language_codes(batch.column(n_in))
         parts = []
-        for a, b, data, offsets in tx.text_blocks(batch.column(n_in + 1)):
+        for a, b, data, offsets in tx.text_blocks(batch.column(n_in + 1), GRAM_BLOCK):
             log_prob = np.zeros(b - a)
             size = np.diff(offsets)
             if shared is not None and len(data):
