@@ -41,8 +41,9 @@ N, THRESHOLD = 5, 0.8
 TREES, DEPTH, SHALLOWEST = 20, 8, 4
 DEPTHS = (8, 6, 5, 4)
 TARGET_RECALL = 0.9999
-#: rows of a bucket compared in one group (with as many of another chunk)
-CHUNK = 256
+#: rows of a bucket compared in one group (with as many of another chunk); a bucket of m rows
+#: sends m * ceil(m / CHUNK) rows, and a group takes some 50 MB beside its texts
+CHUNK = 1024
 
 
 def _rows_hash(values: np.ndarray, row: np.ndarray, n: int, seed: int) -> np.ndarray:
@@ -135,8 +136,8 @@ def _longest_match(batches, depth: int, shallowest: int):
         yield out(last[0], last[1], last[2], np.array([last[3]]))
 
 
-def _links_of(texts: list[str], n: int, threshold: float) -> np.ndarray:
-    """Exact Jaccard similarity of all pairs of a group where it reaches the threshold, else 0."""
+def _links_of(texts: list[str], open_: np.ndarray, n: int, threshold: float) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Row, row and exact Jaccard similarity of the pairs of ``open_`` that reach the threshold."""
     raw = [t.encode() for t in texts]
     offsets = np.concatenate([[0], np.cumsum([len(r) for r in raw])])
     parts = [tx.shingle_hashes(np.frombuffer(b"".join(raw[a:b]), np.uint8), offsets[a:b + 1] - offsets[a], n) + (a,) for a, b in tx.blocks(offsets)]
@@ -146,25 +147,26 @@ def _links_of(texts: list[str], n: int, threshold: float) -> np.ndarray:
     sh, row = sh[by], row[by]
     fresh = np.append(True, (sh[1:] != sh[:-1]) | (row[1:] != row[:-1]))[: len(sh)]
     sh, row = sh[fresh], row[fresh]
-    size = np.bincount(row, minlength=len(texts)).astype(np.float64)
-    start = np.flatnonzero(np.append(True, sh[1:] != sh[:-1])[: len(sh)])
-    count = np.diff(np.append(start, len(sh)))
-    column = np.cumsum(np.repeat(count > 1, count) & np.append(True, sh[1:] != sh[:-1])[: len(sh)]) - 1
-    shared = np.repeat(count > 1, count)
+    size = np.bincount(row, minlength=len(texts))
+    new = np.append(True, sh[1:] != sh[:-1])[: len(sh)]
+    count = np.diff(np.append(np.flatnonzero(new), len(sh)))
+    shared = np.repeat(count > 1, count)  # shingles of one row only don't matter
+    column = np.cumsum(shared & new) - 1
     row, column = row[shared], column[shared]
-    inter = np.zeros((len(texts), len(texts)), np.float64)
-    step = 4096
+    inter = np.zeros((len(texts), len(texts)), np.float32)  # counts: exact below 2**24
+    step = 4096 if len(texts) <= 512 else 1024
     for c in range(0, int(column[-1]) + 1 if len(column) else 0, step):
         a, b = np.searchsorted(column, [c, c + step])
         m = np.zeros((len(texts), step), np.float32)
         m[row[a:b], column[a:b] - c] = 1
         inter += m @ m.T
-    union = size[:, None] + size[None, :] - inter
-    sim = np.divide(inter, union, out=np.zeros_like(inter), where=union > 0)
-    # by counts, not by the quotient: inter / union >= threshold
-    sim[inter < threshold * union - 1e-9] = 0
-    np.fill_diagonal(sim, 0)
-    return sim
+    # a little below the threshold in single precision, then exactly
+    wide = size.astype(np.float32)
+    i, j = np.nonzero(open_ & (inter > 0) & (inter >= np.float32(threshold - 1e-3) * (wide[:, None] + wide[None, :] - inter)))
+    both = inter[i, j].astype(np.float64)
+    union = size[i] + size[j] - both
+    ok = both >= threshold * union - 1e-9
+    return i[ok], j[ok], both[ok] / union[ok]
 
 
 LINK_SCHEMA = "kind string, a long, b long, n long"
@@ -189,8 +191,7 @@ def _compare(tree: int, side: np.ndarray, v: np.ndarray, copies: np.ndarray, sig
                 open_ &= key[:, None] != key[None, :]
     if not open_.any():
         return []
-    sim = np.where(open_, _links_of(texts, n, threshold), 0)
-    i, j = np.nonzero(sim)
+    i, j, sim = _links_of(texts, open_, n, threshold)
     if not len(i):
         return []
     links = np.bincount(i, weights=copies[j], minlength=len(v)) + np.bincount(j, weights=copies[i], minlength=len(v))
@@ -205,7 +206,7 @@ def _compare(tree: int, side: np.ndarray, v: np.ndarray, copies: np.ndarray, sig
             break
         label = new
     rows += [("edge", int(v[label[x]]), int(v[x]), None) for x in np.flatnonzero(label != np.arange(len(v)))]
-    bins, found = np.unique(np.floor(sim[i, j] * 100).astype(int), return_counts=True)
+    bins, found = np.unique(np.floor(sim * 100).astype(int), return_counts=True)
     return rows + [("found", int(x), None, int(c)) for x, c in zip(bins, found)]
 
 
