@@ -68,7 +68,7 @@ def _merged(parts: list[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.
     return k[first], np.add.reduceat(n, first)
 
 
-def _count(batches, order: int, pending: int = 1_000_000, flush: int = 2_500_000):
+def _count(batches, order: int, pending: int = 500_000, flush: int = 1_500_000, rows: int = 100_000):
     """(lang, gram, n), summed within a task as far as bounded memory allows."""
     held: dict[str, list] = {}  # per language: merged counts, then blocks' counts not merged yet
     waiting = 0
@@ -80,8 +80,11 @@ def _count(batches, order: int, pending: int = 1_000_000, flush: int = 2_500_000
     def out():
         for lang, parts in held.items():
             for keys, n in parts:
-                yield pa.RecordBatch.from_arrays([pa.array([lang]).take(pa.array(np.zeros(len(keys), np.int32))), pa.array(tx.as_long(keys)), pa.array(n)], names=["lang", "gram", "n"])
+                for i in range(0, len(keys), rows):
+                    k = keys[i:i + rows]
+                    yield pa.RecordBatch.from_arrays([pa.array([lang]).take(pa.array(np.zeros(len(k), np.int32))), pa.array(tx.as_long(k)), pa.array(n[i:i + rows])], names=["lang", "gram", "n"])
         held.clear()
+        tx.release()
 
     for batch in batches:
         codes, names = _language_codes(batch.column(0))

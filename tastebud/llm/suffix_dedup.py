@@ -330,6 +330,7 @@ def _array_repeats(batches, min_len: int, size: int):
             held_bytes += len(raw)
     if held and (out := solve(held)) is not None:
         yield out
+    tx.release()
 
 
 def _strings(batches, min_len: int):

@@ -7,6 +7,7 @@ of each (what an Arrow string column is).  Words are runs of bytes outside
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Iterator
 
 import numpy as np
@@ -85,11 +86,21 @@ def blocks(offsets: np.ndarray, size: int = BLOCK_BYTES) -> Iterator[tuple[int,
         row = end
 
 
+def release() -> None:
+    """Give freed memory back to the system: workers live on between tasks and share a machine."""
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except (OSError, AttributeError):  # not a C library with malloc_trim
+        pass
+
+
 def text_blocks(column: pa.Array, size: int = BLOCK_BYTES) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
     """(first row, last row, bytes, offsets) of the blocks of one column."""
     data, offsets = text_arrays(column)
     for a, b in blocks(offsets, size):
         yield a, b, data[offsets[a]: offsets[b]], offsets[a: b + 1] - offsets[a]
+    release()
 
 
 def word_spans(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
