@@ -6,8 +6,9 @@ Training is MLlib's blocked ALS.  Around it:
   and fails on overflow); the maps are kept and applied on the way out;
 * every function is pure: a pseudo-user is appended to a *copy* of the ratings
   for one fit and never leaks into the next call;
-* recommendations come back flattened (``user, item, rating, rank``) and joined
-  to titles by key, never zipped by position.
+* recommendations rank the factor tables with the blocked kernel (an equi-shuffle, where
+  MLlib's own recommend calls plan a cartesian product of factor blocks) and are joined to
+  titles by key, never zipped by position.
 """
 
 from __future__ import annotations
@@ -23,6 +24,7 @@ from pyspark.sql import functions as F
 from ..functions.vectors import dot
 from ..session import ensure_checkpoint_dir
 from . import relational as rel
+from .blocks import block_top_k
 from .encode import index_ids
 from .split import hash_split3, random_split
 
@@ -41,11 +43,11 @@ class AlsFit:
         if user and self.user_map is not None:
             out = out.join(self.user_map, user).drop(user).withColumnRenamed("idx", user)
         elif user:
-            out = out.withColumn(user, F.col(user).cast("int"))
+            out = out.withColumn(user, F.col(user).try_cast("int")).where(F.col(user).isNotNull())
         if item and self.item_map is not None:
             out = out.join(self.item_map, item).drop(item).withColumnRenamed("idx", item)
         elif item:
-            out = out.withColumn(item, F.col(item).cast("int"))
+            out = out.withColumn(item, F.col(item).try_cast("int")).where(F.col(item).isNotNull())
         return out
 
     def from_model_ids(self, df: DataFrame, user: str | None = "user", item: str | None = "item") -> DataFrame:
@@ -59,13 +61,18 @@ class AlsFit:
         return out
 
 
-def _needs_map(df: DataFrame, col: str) -> bool:
-    lo, hi = df.agg(F.min(col), F.max(col)).first()
-    if dict(df.dtypes)[col] in ("int", "smallint", "tinyint"):
-        return False
-    if isinstance(lo, (int, np.integer)) and isinstance(hi, (int, np.integer)):
-        return lo < INT_MIN or hi > INT_MAX
-    return True  # strings and other keys are always mapped
+def _need_maps(df: DataFrame, *cols: str) -> dict[str, bool]:
+    """Which id columns don't fit MLlib's INT ids: none of INT type, all that aren't integers,
+    BIGINT ones by their range (one pass over the data for all of them, if any)."""
+    types = dict(df.dtypes)
+    wide = [c for c in cols if types[c] == "bigint"]
+    out = {c: types[c] not in ("int", "smallint", "tinyint", "bigint") for c in cols}
+    if wide:
+        span = df.agg(*[f(c).alias(f"{n}_{c}") for c in wide for n, f in (("lo", F.min), ("hi", F.max))]).first()
+        for c in wide:
+            lo, hi = span[f"lo_{c}"], span[f"hi_{c}"]
+            out[c] = lo is not None and (lo < INT_MIN or hi > INT_MAX)
+    return out
 
 
 def als_estimator(rank: int = 10, reg: float = 0.1, iters: int = 10, seed: int = 42,
@@ -82,8 +89,9 @@ def fit_als(ratings: DataFrame, rank: int = 10, reg: float = 0.1, iters: int = 1
     ensure_checkpoint_dir(ratings.sparkSession)
     df = ratings.select(F.col(user).alias("user"), F.col(item).alias("item"),
                         F.col(rating).cast("float").alias("rating"))
-    umap = index_ids(df, "user") if _needs_map(df, "user") else None
-    imap = index_ids(df, "item") if _needs_map(df, "item") else None
+    need = _need_maps(df, "user", "item")
+    umap = index_ids(df, "user") if need["user"] else None
+    imap = index_ids(df, "item") if need["item"] else None
     shell = AlsFit(None, umap, imap)  # type: ignore[arg-type]
     train = shell.to_model_ids(df)
     model = als_estimator(rank, reg, iters, seed, **kw).fit(train)
@@ -114,35 +122,56 @@ def als_rmse(fit: AlsFit, test: DataFrame, rating: str = "rating") -> DataFrame:
                     F.count(F.lit(1)).alias("n"))
 
 
-def _flatten(recs: DataFrame, key: str, other: str) -> DataFrame:
-    return (recs.select(key, F.posexplode("recommendations").alias("_pos", "_r"))
-            .select(key, F.col(f"_r.{other}").alias(other), F.col("_r.rating").cast("double").alias("rating"),
-                    (F.col("_pos") + 1).cast("long").alias("rank")))
+def _ranked(left: DataFrame, right: DataFrame, n: int, out_left: str, out_right: str) -> DataFrame:
+    """Top ``n`` of ``right`` per row of ``left`` (``id, vec`` factors) through the blocked kernel."""
+    return block_top_k(left, right, n, left_key="id", right_key="id", out_left=out_left, out_right=out_right, score_col="rating")
 
 
 def recommend_all_users(fit: AlsFit, n: int = 10) -> DataFrame:
     """Top ``n`` items per user (seen items not removed): ``user, item, rating, rank``."""
-    out = _flatten(fit.model.recommendForAllUsers(n), "user", "item")
-    return fit.from_model_ids(out)
+    uf, itf = als_factors(fit)
+    return _ranked(uf, itf, n, "user", "item")
 
 
 def recommend_all_items(fit: AlsFit, n: int = 10) -> DataFrame:
     """Top ``n`` users per item: ``item, user, rating, rank``."""
-    out = _flatten(fit.model.recommendForAllItems(n), "item", "user")
-    return fit.from_model_ids(out)
+    uf, itf = als_factors(fit)
+    return _ranked(itf, uf, n, "item", "user")
 
 
 def recommend_users(fit: AlsFit, users: DataFrame, n: int = 10, items: DataFrame | None = None) -> DataFrame:
     """Top ``n`` items for a subset of users, optionally with catalogue columns attached."""
-    subset = fit.to_model_ids(users.select("user").distinct(), user="user", item=None)
-    out = fit.from_model_ids(_flatten(fit.model.recommendForUserSubset(subset, n), "user", "item"))
+    uf, itf = als_factors(fit)
+    out = _ranked(uf.join(users.select(F.col("user").alias("id")), "id", "left_semi"), itf, n, "user", "item")
     return rel.enrich_with_items(out, items) if items is not None else out
 
 
 def recommend_for_items(fit: AlsFit, items: DataFrame, n: int = 10) -> DataFrame:
     """Top ``n`` users for a subset of items (e.g. the result of a title search)."""
-    subset = fit.to_model_ids(items.select("item").distinct(), user=None, item="item")
-    return fit.from_model_ids(_flatten(fit.model.recommendForItemSubset(subset, n), "item", "user"))
+    uf, itf = als_factors(fit)
+    return _ranked(itf.join(items.select(F.col("item").alias("id")), "id", "left_semi"), uf, n, "item", "user")
+
+
+# ---------------------------------------------------------------- saved fits
+
+def save_fit(fit: AlsFit, path: str) -> None:
+    """Write model and id maps below ``path``."""
+    root = path.rstrip("/")
+    fit.model.write().overwrite().save(f"{root}/model")
+    spark = fit.model.userFactors.sparkSession
+    maps = {"user_map": fit.user_map, "item_map": fit.item_map}
+    for name, df in maps.items():
+        if df is not None:
+            df.write.mode("overwrite").parquet(f"{root}/{name}")
+    spark.createDataFrame([(n, df is not None) for n, df in maps.items()], "name string, present boolean").coalesce(1).write.mode("overwrite").parquet(f"{root}/about")
+
+
+def load_fit(spark, path: str) -> AlsFit:
+    """The fit written by ``save_fit``."""
+    root = path.rstrip("/")
+    have = {r["name"]: r["present"] for r in spark.read.parquet(f"{root}/about").collect()}
+    maps = {n: spark.read.parquet(f"{root}/{n}") if there else None for n, there in have.items()}
+    return AlsFit(ALSModel.load(f"{root}/model"), maps["user_map"], maps["item_map"])
 
 
 # ---------------------------------------------------------------- tuning (2.10-3/4)
@@ -201,16 +230,16 @@ def tune_als(ratings: DataFrame, ranks: list[int], regs: list[float], iters: int
 
 # ---------------------------------------------------------------- pseudo-user queries (2.10-5, 2.11-5/6)
 
-def fold_in_user(item_factors: DataFrame, liked: DataFrame, rating: float, reg: float) -> list[float]:
+def fold_in_user(item_factors: DataFrame, liked: DataFrame, rating: float, reg: float) -> list[float] | None:
     """Factor of a new user who gave ``rating`` to ``liked`` items, with item factors held
     fixed: solve (Y'Y + reg * n I) x = Y' r (MLlib's explicit ALS-WR normal equations).
-    Only rank x rank numbers reach the driver."""
+    Only rank x rank numbers reach the driver.  No liked item with factors: None."""
     from pyspark.ml.functions import array_to_vector, vector_to_array
     from pyspark.ml.stat import Summarizer
     y = item_factors.join(liked.select(F.col("item").alias("id")), "id")
     k = len(y.select("vec").first()[0]) if not y.isEmpty() else 0
     if k == 0:
-        raise ValueError("none of the liked items has factors")
+        return None
     outer = F.flatten(F.transform("vec", lambda a: F.transform("vec", lambda b: a * b)))
     agg = y.agg(vector_to_array(Summarizer.sum(array_to_vector(outer))).alias("yty"),
                 vector_to_array(Summarizer.sum(array_to_vector(F.transform("vec", lambda a: a * rating)))).alias("ytr"),
@@ -241,18 +270,21 @@ def recommend_for_liked(ratings: DataFrame, items: DataFrame, liked: DataFrame,
     """
     uid: Column = rel.next_user_id(ratings)
     unseen = rel.candidates(uid, items, liked)
-    if mode == "refit":
+    none = unseen.select("user", "item", F.lit(0.0).alias("prediction")).where(F.lit(False))
+    if mode not in ("refit", "fold_in"):
+        raise ValueError("mode must be 'refit' or 'fold_in'")
+    if liked.isEmpty():  # nothing to go by: no fit, no rows
+        pred = none
+    elif mode == "refit":
         fit, _ = fit_pseudo_user(ratings, liked, rating, rank, reg, iters, seed)
         pred = score_als(fit, unseen)
-    elif mode == "fold_in":
+    else:
         fit = fit or fit_als(ratings, rank, reg, iters, seed)
         _, itf = als_factors(fit)
         x = fold_in_user(itf, liked, rating, reg)
-        qv = F.array(*[F.lit(v) for v in x])
-        pred = (unseen.join(itf.withColumnRenamed("id", "item"), "item")
-                .select("user", "item", dot(qv, F.col("vec")).alias("prediction")))
-    else:
-        raise ValueError("mode must be 'refit' or 'fold_in'")
+        pred = none if x is None else (
+            unseen.join(itf.withColumnRenamed("id", "item"), "item")
+            .select("user", "item", dot(F.array(*[F.lit(v) for v in x]), F.col("vec")).alias("prediction")))
     ranked = rel.top_n_per_key(pred, "user", [F.col("prediction").desc(), F.col("item").asc()], n)
     return rel.enrich_with_items(ranked, items)
 

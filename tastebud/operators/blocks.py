@@ -19,9 +19,11 @@ one task.  The plan here:
   ``k`` per left row leave the task; the final ``row_number <= k`` per left key
   runs as a partial WindowGroupLimit before its shuffle.
 
-Ties: scores are compared after rounding to ``decimals`` places and broken by the
-right key ascending -- the same rule in the numpy kernel and in the final window,
-so the local cut never drops a row the global ranking would keep.
+Ties: equal scores are broken by the right key ascending -- the same rule in the numpy
+kernel and in the final window, so the local cut never drops a row the global ranking would
+keep.  With ``decimals`` scores are compared after rounding (what SQL comparisons need); the
+default compares them as they are.  A score that is not finite is an error: it means a
+diverged model.
 """
 
 from __future__ import annotations
@@ -38,6 +40,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.vectors import normalize
+from ..session import cut_lineage
 
 DEFAULT_BLOCK_ROWS = 16384
 MIN_BLOCK_ROWS = 256
@@ -123,41 +126,45 @@ def _stack(vecs: pd.Series) -> np.ndarray:
     return np.vstack([np.asarray(v, dtype=np.float64) for v in vecs.values])
 
 
-def _right_data(rpdf: pd.DataFrame):
-    """Per group, once: right keys, right matrix and the exclusion rows."""
+def _right_data(lpdf: pd.DataFrame, rpdf: pd.DataFrame):
+    """Per group, once: right keys, right matrix, and the excluded (left row, right row) positions by left row."""
     is_ex = rpdf["ex"].to_numpy(dtype=bool)
     items = rpdf[~is_ex]
-    if len(items) == 0:
+    if len(items) == 0 or len(lpdf) == 0:
         return None
     rkeys = items["rk"].to_numpy()
-    return rkeys, _stack(items["vec"]), rpdf[is_ex][["xl", "rk"]]
-
-
-def _masked_scores(lpdf: pd.DataFrame, right, exclude_self: bool):
-    if right is None or len(lpdf) == 0:
-        return None
-    rkeys, rmat, ex = right
-    lkeys = lpdf["lk"].to_numpy()
-    s = _stack(lpdf["vec"]) @ rmat.T
-    valid = np.isfinite(s)
-    if exclude_self:
-        valid &= lkeys[:, None] != rkeys[None, :]
+    ex = rpdf[is_ex][["xl", "rk"]]
     if len(ex):
         # left keys may repeat (one row per chunk of positives): map through a merge
         rpos = pd.DataFrame({"rk": rkeys, "ri": np.arange(len(rkeys))})
-        lpos = pd.DataFrame({"xl": lkeys, "li": np.arange(len(lkeys))})
-        hit = ex.merge(lpos, on="xl").merge(rpos, on="rk")
-        valid[hit["li"].to_numpy(), hit["ri"].to_numpy()] = False
-    return lkeys, rkeys, s, valid
+        lpos = pd.DataFrame({"xl": lpdf["lk"].to_numpy(), "li": np.arange(len(lpdf))})
+        hit = ex.merge(lpos, on="xl").merge(rpos, on="rk").sort_values("li")
+        out = hit["li"].to_numpy(), hit["ri"].to_numpy()
+    else:
+        out = np.zeros(0, np.int64), np.zeros(0, np.int64)
+    return rkeys, _stack(items["vec"]), out
+
+
+def _masked_scores(lpdf: pd.DataFrame, start: int, right, exclude_self: bool):
+    """Left keys, scores and validity of the left rows from ``start`` on (one slice)."""
+    rkeys, rmat, (li, ri) = right
+    part = lpdf.iloc[start:start + SLICE_ROWS]
+    lkeys = part["lk"].to_numpy()
+    s = _stack(part["vec"]) @ rmat.T
+    if not np.isfinite(s).all():
+        raise ValueError("scores are not finite: the factors have diverged")
+    valid = lkeys[:, None] != rkeys[None, :] if exclude_self else np.ones(s.shape, dtype=bool)
+    a, b = np.searchsorted(li, [start, start + len(part)])
+    valid[li[a:b] - start, ri[a:b]] = False
+    return part, lkeys, rkeys, s, valid
 
 
 def _sliced(one_slice, names):
     def kernel(lpdf: pd.DataFrame, rpdf: pd.DataFrame) -> pd.DataFrame:
-        right = _right_data(rpdf)
-        parts = [one_slice(lpdf.iloc[i:i + SLICE_ROWS], right) for i in range(0, len(lpdf), SLICE_ROWS)]
-        parts = [p for p in parts if p is not None and len(p)]
-        if not parts:
+        right = _right_data(lpdf, rpdf)
+        if right is None:
             return pd.DataFrame({n: [] for n in names})
+        parts = [one_slice(lpdf, i, right) for i in range(0, len(lpdf), SLICE_ROWS)]
         return pd.concat(parts, ignore_index=True)
     return kernel
 
@@ -165,11 +172,8 @@ def _sliced(one_slice, names):
 def _topk_kernel(k: int, decimals: int | None, exclude_self: bool, out_schema: T.StructType):
     names = out_schema.names
 
-    def one_slice(lpdf: pd.DataFrame, right):
-        got = _masked_scores(lpdf, right, exclude_self)
-        if got is None:
-            return None
-        lkeys, rkeys, s, valid = got
+    def one_slice(lpdf: pd.DataFrame, start: int, right):
+        _, lkeys, rkeys, s, valid = _masked_scores(lpdf, start, right, exclude_self)
         r = np.round(s, decimals) if decimals is not None else s.copy()
         r[~valid] = -np.inf
         n_r = r.shape[1]
@@ -193,7 +197,7 @@ def _topk_kernel(k: int, decimals: int | None, exclude_self: bool, out_schema: T
 def block_top_k(left: DataFrame, right: DataFrame, k: int, *, left_key: str, right_key: str,
                 left_vec: str = "vec", right_vec: str = "vec", metric: str = "dot",
                 exclude: DataFrame | None = None, exclude_self: bool = False,
-                decimals: int | None = 6, block_rows: int = DEFAULT_BLOCK_ROWS,
+                decimals: int | None = None, block_rows: int = DEFAULT_BLOCK_ROWS,
                 n_left: int | None = None, n_right: int | None = None,
                 out_left: str | None = None, out_right: str | None = None,
                 score_col: str = "score", rank_col: str = "rank") -> DataFrame:
@@ -228,16 +232,17 @@ def block_top_k(left: DataFrame, right: DataFrame, k: int, *, left_key: str, rig
 def _auc_kernel(decimals: int | None, out_schema: T.StructType):
     names = out_schema.names
 
-    def one_slice(lpdf: pd.DataFrame, right):
-        got = _masked_scores(lpdf, right, False)
-        if got is None:
-            return None
-        lkeys, _, s, valid = got
+    def one_slice(lpdf: pd.DataFrame, start: int, right):
+        part, lkeys, _, s, valid = _masked_scores(lpdf, start, right, False)
         r = np.round(s, decimals) if decimals is not None else s
+        # chunks of one left row have the same scores: sort each left row's negatives once
+        _, first, which = np.unique(lkeys, return_index=True, return_inverse=True)
+        negatives = np.sort(np.where(valid[first], r[first], np.inf), axis=1)
+        count = valid[first].sum(axis=1)
         wins = np.zeros(len(lkeys))
-        for i in range(len(lkeys)):
-            neg = np.sort(r[i][valid[i]])
-            pos = np.asarray(lpdf["pos"].iloc[i], dtype=np.float64)
+        for i, positives in enumerate(part["pos"]):
+            neg = negatives[which[i], :count[which[i]]]
+            pos = np.asarray(positives, dtype=np.float64)
             if decimals is not None:
                 pos = np.round(pos, decimals)
             lo = np.searchsorted(neg, pos, side="left")
@@ -250,15 +255,19 @@ def _auc_kernel(decimals: int | None, out_schema: T.StructType):
 
 def block_auc(left: DataFrame, right: DataFrame, positives: DataFrame, *, left_key: str,
               right_key: str, left_vec: str = "vec", right_vec: str = "vec",
-              train: DataFrame | None = None, decimals: int | None = 6,
-              block_rows: int = DEFAULT_BLOCK_ROWS, chunk: int = 1024) -> DataFrame:
+              train: DataFrame | None = None, decimals: int | None = None,
+              block_rows: int = DEFAULT_BLOCK_ROWS, chunk: int = 1024, chunks_per_part: int = 8,
+              n_right: int | None = None) -> DataFrame:
     """Per-left-row AUC: share of (positive, negative) right pairs ranked right, ties 1/2.
 
     Negatives are all right rows except the row's positives and its ``train`` pairs.
     Each positive's score is computed by a key join; positives travel to the blocks
-    as arrays of at most ``chunk`` scores per row (a user with many positives is
-    split into several rows by a hash of the item), and each block only returns
-    one win count per (user, chunk).  Users without positives or negatives get no row.
+    as arrays of about ``chunk`` scores per row (a user with many positives is split
+    into several rows by a hash of the item).  Every ``chunks_per_part`` such rows of a
+    user are a part, and blocks are cut by (user, part), so a user with a third of all
+    positives is spread over many blocks; its exclusions go to each of its parts.  Each
+    block only returns one win count per (user, chunk).  Users without positives or
+    negatives get no row.
     """
     lside, rside = _prepare(left, right, left_key, right_key, left_vec, right_vec, "dot")
     pos_pairs = _pair_cols(positives).distinct()
@@ -271,20 +280,27 @@ def block_auc(left: DataFrame, right: DataFrame, positives: DataFrame, *, left_k
     chunks = (scored.join(per_user, "lk")
               .withColumn("_c", F.pmod(F.xxhash64("rk"), F.ceil(F.col("_p") / chunk)))
               .groupBy("lk", "_c").agg(F.collect_list("ps").alias("pos")))
+    # one row per (user, chunk) with the user's vector: written once, counted and scored from there
+    luse = cut_lineage(chunks.join(lside, "lk").withColumn("part", F.floor(F.col("_c") / chunks_per_part).cast("int")))
+    parts = luse.groupBy("lk").agg(F.max("part").alias("_last"))
     excl = pos_pairs
     if train is not None:
-        excl = excl.unionByName(_pair_cols(train))
-        excl = excl.distinct()
-    n_right = rside.count()
-    a, b = _layout(lside, rside, block_rows, None, n_right)
-    luse = chunks.join(lside, "lk")
-    lrep = _replicate(luse, "lb", a, "rb", b, "lk").select("lb", "rb", "lk", "vec", "pos")
-    rrep = _right_side(rside, excl, a, b, lk_type)
+        excl = excl.unionByName(_pair_cols(train)).distinct()
+    excl = excl.join(parts, "lk")  # of scored users only
+    n_right = rside.count() if n_right is None else n_right
+    a, b = _layout(luse, rside, block_rows, luse.count(), n_right)
+    own = F.pmod(F.xxhash64("lk", "part"), F.lit(a)).cast("int")
+    lrep = luse.withColumn("lb", own).withColumn("rb", F.explode(F.sequence(F.lit(0), F.lit(b - 1)))).select("lb", "rb", "lk", "vec", "pos")
+    rrep = _right_side(rside, None, a, b, lk_type)
+    routed = (excl.withColumn("part", F.explode(F.sequence(F.lit(0), F.col("_last")))).withColumn("lb", own)
+              .select("lb", _block("rk", b).alias("rb"), F.col("rk").cast(dict(rrep.dtypes)["rk"]).alias("rk"),
+                      F.lit(None).cast("array<double>").alias("vec"), F.lit(True).alias("ex"), F.col("lk").cast(lk_type).alias("xl")))
+    rrep = rrep.unionByName(routed)
     schema = T.StructType([T.StructField("lk", lk_type), T.StructField("wins", T.DoubleType())])
     wins = (lrep.groupBy("lb", "rb").cogroup(rrep.groupBy("lb", "rb"))
             .applyInPandas(_auc_kernel(decimals, schema), schema)
             .groupBy("lk").agg(F.sum("wins").alias("wins")))
-    excluded = (excl.join(rside.select("rk"), "rk", "left_semi")
+    excluded = (excl.select("lk", "rk").join(rside.select("rk"), "rk", "left_semi")
                 .groupBy("lk").agg(F.count(F.lit(1)).alias("_x")))
     out = (wins.join(per_user, "lk").join(excluded, "lk")
            .withColumn("_n", F.lit(n_right) - F.col("_x"))

@@ -9,12 +9,13 @@ Per round: two partial-aggregated ``groupBy.count`` (a user holding a third of t
 rows is pre-counted map-side) and two ``left_anti`` joins against the ids that fall
 below the minimum (AQE broadcasts that list when it is small -- the usual case after
 the first round -- else shuffles; skewed partitions are split by AQE's skew-join
-rule).  Rounds are cached and every few
-rounds checkpointed to the shared checkpoint folder, so lineage stays short.
+rule).
 """
 
 from __future__ import annotations
 
+from functools import partial
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -37,59 +38,44 @@ def kcore_round(pairs: DataFrame, user_min: int, item_min: int, user: str, item:
 
 
 def kcore(df: DataFrame, user_min: int, item_min: int, user: str = "user", item: str = "item",
-          max_rounds: int = 1000, checkpoint_every: int = 4) -> DataFrame:
+          checkpoint_every: int = 4) -> DataFrame:
     """Rows of ``df`` whose (user, item) pair survives thresholding.
 
     ``user_min`` bounds the distinct items per user and ``item_min`` the distinct
     users per item (the documented meaning; duplicates are counted once).
 
-    Each round is one job: the surviving pairs are cached and counted in the same
-    pass; every ``checkpoint_every`` rounds they are also checkpointed to the shared
-    folder, which bounds lineage (and recomputation after a lost executor) to a few
-    rounds.
+    The input is written once; rounds work on its distinct pairs.  Each round is one
+    job: the surviving pairs are cached and counted in the same pass, and the round
+    before is released.  Every ``checkpoint_every`` rounds they are written to the
+    shared folder instead, which bounds lineage (and recomputation after a lost
+    executor) to a few rounds.  Every round but the last removes a pair, so the loop
+    ends by itself; an input that loses nothing ends after one round.
     """
-    src = df.persist()  # read once: pairs and the final rows both come from it
-    pairs = src.select(user, item).distinct().persist()  # filled by round 1's job
-    held = [src, pairs]
-    written: list[str] = []  # round tables, dropped once the result is written
-    n = None  # rows after the previous round; a round that keeps them all is the fixed point
-    try:
-        for r in range(1, max_rounds + 1):
-            nxt = kcore_round(pairs, user_min, item_min, user, item)
-            if r % checkpoint_every == 0:
-                nxt, path = materialize(nxt)
-                written.append(path)
-            else:
-                nxt = nxt.persist()
-            held.append(nxt)
-            m = nxt.count()
-            pairs = nxt
-            if m == n:
-                break
-            n = m
-        else:
-            raise RuntimeError("k-core did not converge")
-        # durable result, independent of the caches and round tables released below
-        result = cut_lineage(src.join(pairs, [user, item], "left_semi"))
-    finally:
-        for h in held:
-            h.unpersist()
-    for path in written:
-        drop_table(df.sparkSession, path)
-    return result
-
-
-def kcore_rounds_needed(df: DataFrame, user_min: int, item_min: int, user: str = "user",
-                        item: str = "item") -> int:
-    """Number of shrinking rounds (for sizing an unrolled SQL oracle)."""
-    pairs = df.select(user, item).distinct().persist()
-    n, rounds = pairs.count(), 0
+    spark = df.sparkSession
+    src = cut_lineage(df)
+    pairs = src.select(user, item).distinct().persist()
+    n = start = pairs.count()
+    release = pairs.unpersist
+    r = 0
     while True:
-        nxt = kcore_round(pairs, user_min, item_min, user, item).persist()
+        r += 1
+        nxt = kcore_round(pairs, user_min, item_min, user, item)
+        if r % checkpoint_every == 0:
+            nxt, path = materialize(nxt)
+            drop = partial(drop_table, spark, path)
+        else:
+            nxt = nxt.persist()
+            drop = nxt.unpersist
         m = nxt.count()
-        pairs.unpersist()
+        release()
+        pairs, release = nxt, drop
         if m == n:
-            nxt.unpersist()
-            return rounds
-        rounds += 1
-        pairs, n = nxt, m
+            break
+        n = m
+    if m == start:  # nothing was removed
+        release()
+        return src
+    # durable result, independent of the caches and round tables released here
+    result = cut_lineage(src.join(pairs, [user, item], "left_semi"))
+    release()
+    return result

@@ -135,8 +135,8 @@ def align_features(df: DataFrame, expected: DataFrame, col: str = "feature") ->
     got = df.select(col).distinct()
     missing = expected.select(col).join(got, col, "left_anti")
     if not missing.isEmpty():
-        names = [r[0] for r in missing.orderBy(col).limit(20).collect()]
-        raise ValueError(f"features missing from input: {names}")
+        first = [r[0] for r in missing.orderBy(col).limit(20).collect()]
+        raise ValueError(f"{missing.count()} features missing from input; the first are {first}")
     return df.join(expected.select(col), col, "left_semi")
 
 
@@ -148,11 +148,6 @@ def restrict_items(item_map: DataFrame, wanted: DataFrame, item: str = "item") -
     return item_map.join(wanted.select(item).distinct(), item, "left_semi")
 
 
-def keep_keys(df: DataFrame, keys: DataFrame, key: str) -> DataFrame:
-    """Semi-join: rows whose key appears in ``keys``."""
-    return df.join(keys.select(key), key, "left_semi")
-
-
 # ---------------------------------------------------------------- 2.4 aggregations
 
 def next_user_id(ratings: DataFrame, user: str = "user") -> Column:
@@ -203,10 +198,6 @@ def rmse(pred: DataFrame, label_col: str = "rating", pred_col: str = "prediction
                     F.count(F.lit(1)).alias("n"))
 
 
-def mean_metric(per_user: DataFrame, col: str) -> DataFrame:
-    return per_user.agg(F.avg(col).alias(col))
-
-
 # ---------------------------------------------------------------- 2.5 sorts and top-k
 
 def top_n(df: DataFrame, order: list[Column], n: int) -> DataFrame:

@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.keys import hex_threshold, md5_key
+from ..session import cut_lineage
 from .encode import index_by_order
 
 
@@ -48,6 +49,7 @@ def holdout_per_user(df: DataFrame, n: int, fraction: float | None = None, seed:
 
     Returns ``(train, test, test_users)``.
     """
+    df = cut_lineage(df)  # counted, ranked and split from one table
     pairs = df.select(user, item).distinct()
     counts = pairs.groupBy(user).agg(F.count(F.lit(1)).alias("_c"))
     if fraction:

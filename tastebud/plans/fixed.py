@@ -1,11 +1,12 @@
 """Registered vector queries on a fixed factor model built from ``embeddings``.
 
-Fixture (FIXTURES §2): ``vec_id < 50`` act as users, the rest as items.  Observed
+Every vector is a user and an item; a pair with itself is no candidate.  Observed
 pairs are the interaction-table pairs whose user and item both have a vector
 (semi-joins on the factor tables, not id lists); an md5 split puts half of them in
 ``train`` (seen) and half in ``test``.  Tag features are the labels: the embedding
 of ``tag_<label>`` is the sum of the vectors carrying that label, and an item's
-representation is its own vector.
+representation is its own vector.  Rankings compare scores rounded to 6 places, as
+the SQL does.
 """
 
 from __future__ import annotations
@@ -16,10 +17,12 @@ from pyspark.sql import functions as F
 from ..operators import evaluate as ev
 from ..operators import similarity as sim
 from ..operators.split import hash_split
+from ..session import cut_lineage
 from ..sources import tables
 from .catalog import I_CTE, SEED, TOP_K
 
 FIXED_TEST_FRACTION = 0.5
+DECIMALS = 6
 TAG_PREFIX = "tag_"
 
 
@@ -32,15 +35,16 @@ def fixed_model(spark, d):
     return users.select("id", "vec"), items.select("id", "vec")
 
 
-def fixed_pairs(spark, d) -> tuple[DataFrame, DataFrame]:
+def fixed_pairs(spark, d) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """(train, test, taken): the split, written once, and what may not be ranked (train and self pairs)."""
     users, items = fixed_model(spark, d)
-    inter = tables.interactions(spark, d).select("user", "item")
+    inter = tables.interactions(spark, d).select("user", "item").where("user <> item")
     pairs = (inter.join(users.select(F.col("id").alias("user")), "user", "left_semi")
              .join(items.select(F.col("id").alias("item")), "item", "left_semi"))
-    tagged = hash_split(pairs, FIXED_TEST_FRACTION, SEED)
+    tagged = cut_lineage(hash_split(pairs, FIXED_TEST_FRACTION, SEED))
     train = tagged.where(F.col("split") == "train").select("user", "item")
     test = tagged.where(F.col("split") == "test").select("user", "item")
-    return train, test
+    return train, test, train.unionByName(users.select(F.col("id").alias("user"), F.col("id").alias("item")))
 
 
 def tag_embeddings(spark, d) -> DataFrame:
@@ -61,71 +65,68 @@ def _rounded(df: DataFrame) -> DataFrame:
 
 def q_item_similarity_top10(spark, d):
     emb = tables.embedding_vectors(spark, d)
-    return _rounded(sim.item_similarity(emb, TOP_K))
+    return _rounded(sim.item_similarity(emb, TOP_K, decimals=DECIMALS))
 
 
 def q_similar_items(spark, d):
     emb = tables.embedding_vectors(spark, d)
     labels = emb.select(F.col("id").alias("neighbour"), F.col("label").alias("neighbour_label"))
-    out = sim.similar_items(sim.item_similarity(emb, 5), 5, labels=labels)
+    out = sim.similar_items(sim.item_similarity(emb, 5, decimals=DECIMALS), 5, labels=labels)
     return _rounded(out).select("item", "neighbour", "score", "rank", "neighbour_label")
 
 
 def q_recommend_unseen_fixed(spark, d):
     users, items = fixed_model(spark, d)
-    train, _ = fixed_pairs(spark, d)
-    return _rounded(sim.recommend_unseen(users, items, train, TOP_K))
+    _, _, taken = fixed_pairs(spark, d)
+    return _rounded(sim.recommend_unseen(users, items, taken, TOP_K, decimals=DECIMALS))
 
 
 def q_recommend_users_for_item(spark, d):
     users, items = fixed_model(spark, d)
-    return _rounded(sim.recommend_users_for_item(users, items, 5))
+    return _rounded(sim.recommend_users_for_item(users, items, 5, exclude_self=True, decimals=DECIMALS))
 
 
 def q_precision_recall_at_10(spark, d):
     users, items = fixed_model(spark, d)
-    train, test = fixed_pairs(spark, d)
-    pr = ev.precision_recall_at_k(users, items, test, TOP_K, train)
+    _, test, taken = fixed_pairs(spark, d)
+    pr = ev.precision_recall_at_k(users, items, test, TOP_K, taken, decimals=DECIMALS)
     return pr.select("user", _r("precision").alias("precision"), _r("recall").alias("recall"))
 
 
 def q_auc_per_user(spark, d):
     users, items = fixed_model(spark, d)
-    train, test = fixed_pairs(spark, d)
-    return ev.auc_per_user(users, items, test, train).select("user", _r("auc").alias("auc"))
+    _, test, taken = fixed_pairs(spark, d)
+    return ev.auc_per_user(users, items, test, taken, decimals=DECIMALS).select("user", _r("auc").alias("auc"))
 
 
 def q_items_for_feature(spark, d):
     reps = tables.embedding_vectors(spark, d).select(F.col("id").alias("item"), "vec")
-    return _rounded(sim.items_for_feature(reps, tag_embeddings(spark, d), TOP_K))
+    return _rounded(sim.items_for_feature(reps, tag_embeddings(spark, d), TOP_K, decimals=DECIMALS))
 
 
 def q_suggest_features(spark, d):
     reps = tables.embedding_vectors(spark, d).select(F.col("id").alias("item"), "vec")
     return _rounded(sim.suggest_features(reps, tag_embeddings(spark, d), item_tags(spark, d), 3,
-                                         prefix=TAG_PREFIX))
+                                         prefix=TAG_PREFIX, decimals=DECIMALS))
 
 
 def q_similar_features(spark, d):
-    return _rounded(sim.similar_features(tag_embeddings(spark, d), 3))
+    return _rounded(sim.similar_features(tag_embeddings(spark, d), 3, decimals=DECIMALS))
 
 
 def q_item_features_of(spark, d):
     """Features of every item that some tag query returned in its top 10."""
     reps = tables.embedding_vectors(spark, d).select(F.col("id").alias("item"), "vec")
-    wanted = sim.items_for_feature(reps, tag_embeddings(spark, d), TOP_K).select("item").distinct()
+    wanted = sim.items_for_feature(reps, tag_embeddings(spark, d), TOP_K, decimals=DECIMALS).select("item").distinct()
     return sim.item_features_of(item_tags(spark, d), wanted)
 
 
 def q_report_fixed(spark, d):
     """Mean precision@10, recall@10 and AUC over users (test split, train excluded)."""
     users, items = fixed_model(spark, d)
-    train, test = fixed_pairs(spark, d)
-    pr = ev.precision_recall_at_k(users, items, test, TOP_K, train)
-    auc = ev.auc_per_user(users, items, test, train)
-    per_user = pr.join(auc, "user", "full_outer")  # avg() skips the nulls of either side
-    return per_user.agg(_r(F.avg("precision")).alias("precision"), _r(F.avg("recall")).alias("recall"),
-                        _r(F.avg("auc")).alias("auc"))
+    _, test, taken = fixed_pairs(spark, d)
+    out = ev.report(users, items, taken, test, TOP_K, decimals=DECIMALS, splits=("test",))
+    return out.select(_r("precision").alias("precision"), _r("recall").alias("recall"), _r("auc").alias("auc"))
 
 
 QUERIES = {
@@ -143,16 +144,16 @@ QUERIES = {
 }
 
 E_CTE = "e AS (SELECT vec_id AS id, CAST(embedding AS DOUBLE[]) AS vec, label FROM embeddings)"
-ROLES_CTE = """fu AS (SELECT id, vec FROM e WHERE id < 50),
-fi AS (SELECT id, vec FROM e WHERE id >= 50)"""
+ROLES_CTE = """fu AS (SELECT id, vec FROM e),
+fi AS (SELECT id, vec FROM e)"""
 PAIRS_CTE = f"""pairs AS (SELECT DISTINCT I."user", I.item FROM I
-    WHERE I."user" IN (SELECT id FROM fu) AND I.item IN (SELECT id FROM fi)),
+    WHERE I."user" <> I.item AND I."user" IN (SELECT id FROM fu) AND I.item IN (SELECT id FROM fi)),
 tagged AS (SELECT "user", item,
     substr(md5('{SEED}' || '|' || CAST("user" AS VARCHAR) || '|' || CAST(item AS VARCHAR)), 1, 8) < '80000000' AS is_test
     FROM pairs),
 train AS (SELECT "user", item FROM tagged WHERE NOT is_test),
 test AS (SELECT "user", item FROM tagged WHERE is_test),
-scores AS (SELECT fu.id AS "user", fi.id AS item, list_inner_product(fu.vec, fi.vec) AS score FROM fu, fi)"""
+scores AS (SELECT fu.id AS "user", fi.id AS item, list_inner_product(fu.vec, fi.vec) AS score FROM fu JOIN fi ON fu.id <> fi.id)"""
 TAGS_CTE = """u AS (SELECT label, unnest(range(1, len(vec) + 1)) AS pos, unnest(vec) AS x FROM e),
 tags AS (SELECT 'tag_' || CAST(label AS VARCHAR) AS feature, list(x ORDER BY pos) AS vec
          FROM (SELECT label, pos, sum(x) AS x FROM u GROUP BY label, pos) GROUP BY label),
@@ -190,7 +191,7 @@ s AS (SELECT a.id AS item, b.id AS neighbour, list_cosine_similarity(a.vec, b.ve
 c AS (SELECT * FROM scores s WHERE NOT EXISTS (SELECT 1 FROM train t WHERE t."user" = s."user" AND t.item = s.item))
 {_topk_sql('c', '"user"', 'item', TOP_K)}""",
     "recommend_users_for_item": f"""WITH {E_CTE}, {ROLES_CTE},
-s AS (SELECT fi.id AS item, fu.id AS "user", list_inner_product(fu.vec, fi.vec) AS score FROM fu, fi)
+s AS (SELECT fi.id AS item, fu.id AS "user", list_inner_product(fu.vec, fi.vec) AS score FROM fu JOIN fi ON fu.id <> fi.id)
 {_topk_sql('s', 'item', '"user"', 5)}""",
     "precision_recall_at_10": f"""WITH {I_CTE}, {E_CTE}, {ROLES_CTE}, {PAIRS_CTE},
 c AS (SELECT * FROM scores s WHERE NOT EXISTS (SELECT 1 FROM train t WHERE t."user" = s."user" AND t.item = s.item)),

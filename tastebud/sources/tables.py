@@ -69,17 +69,12 @@ def user_side_info(spark: SparkSession, sf_dir: str) -> DataFrame:
     return seg.unionByName(nat)
 
 
-FIXED_USER_IDS_BELOW = 50  # fixed value: vec_id < 50 act as users, the rest as items
-
-
 def fixed_factors(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
-    """``embeddings`` as a fixed factor model: (users, items), each ``id, vec, label``."""
+    """``embeddings`` as a fixed factor model: every vector is a user and an item, each ``id, vec, label``."""
     emb = table(spark, sf_dir, "embeddings").select(
         F.col("vec_id").alias("id"),
         F.col("embedding").cast("array<double>").alias("vec"), "label")
-    users = emb.where(F.col("id") < FIXED_USER_IDS_BELOW)
-    its = emb.where(F.col("id") >= FIXED_USER_IDS_BELOW)
-    return users, its
+    return emb, emb
 
 
 def embedding_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:

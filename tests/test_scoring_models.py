@@ -1,0 +1,155 @@
+"""Scoring requests, entities without features, values, saved models, hot users: small exact checks."""
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+from planted import planted
+from tastebud.operators import als, evaluate as ev, kcore, rank_mf, similarity as sim
+from tastebud.operators.blocks import block_auc, block_top_k
+from tastebud.session import drop_table  # noqa: F401
+
+
+def _model(spark, user_feats=True, item_feats=True, indicators="both", dim=2):
+    """A fixed model: user and item state given by hand."""
+    state = lambda names, base: spark.createDataFrame(
+        [(n, [float(base + i), 1.0], 0.1 * i, [0.0] * dim, 0.0) for i, n in enumerate(names)], "feature string, vec array<double>, bias double, g2v array<double>, g2b double")
+    users, items = [1, 2], [10, 11, 12]
+    uf = spark.createDataFrame([(1, "a", 1.0), (2, "b", 2.0)], "user long, feature string, weight double") if user_feats else None
+    itf = spark.createDataFrame([(10, "x", 1.0), (11, "y", 0.5)], "item long, feature string, weight double") if item_feats else None
+    if user_feats and indicators in ("users", "both"):
+        uf = uf.unionByName(rank_mf.rel.indicator_rows(spark.createDataFrame([(u,) for u in users], "user long"), "user"))
+    if item_feats and indicators in ("items", "both"):
+        itf = itf.unionByName(rank_mf.rel.indicator_rows(spark.createDataFrame([(i,) for i in items], "item long"), "item"))
+    us = state(["a", "b", "id:1", "id:2"], 1) if user_feats else state(["1", "2"], 1).withColumn("feature", F.col("feature").cast("long"))
+    its = state(["x", "y", "id:10", "id:11", "id:12"], 5) if item_feats else state(["10", "11", "12"], 5).withColumn("feature", F.col("feature").cast("long"))
+    index = spark.createDataFrame([(i, k) for k, i in enumerate(items)], "item long, idx long")
+    return rank_mf.RankMF(us, its, uf, itf, index, 3, spark.createDataFrame([(u,) for u in users], "user long"), {"dim": dim, "indicators": indicators})
+
+
+def _scores(df):
+    return {(r.user, r.item): r.score for r in df.collect()}
+
+
+def test_items_without_features_are_kept_with_zero_representation(spark):
+    m = _model(spark, indicators="users")
+    reps = {r.item: (r.vec, r.bias) for r in m.item_reps().collect()}
+    assert reps[12] == ([0.0, 0.0], 0.0) and reps[11] == ([3.0, 0.5], 0.05) and len(reps) == 3
+    got = _scores(rank_mf.score_batch(m, spark.createDataFrame([(1, 12), (1, 10)], "user long, item long")
+                                      , user_features=spark.createDataFrame([(1, "a", 1.0)], "user long, feature string, weight double")))
+    # user 1: a + id:1 = [1 + 3, 2], bias 0 + 0.2
+    assert got[1, 12] == pytest.approx(0.2) and got[1, 10] == pytest.approx(4 * 5 + 2 * 1 + 0.2)
+
+
+def test_baseline_for_models_without_user_indicators(spark):
+    m = _model(spark, indicators="none")
+    base = spark.createDataFrame([(10, 0.7)], "item long, score double")
+    got = _scores(rank_mf.score_batch(m, spark.createDataFrame([(99, 10), (99, 11)], "user long, item long"), use_baseline=True, baseline=base))
+    assert got == {(99, 10): 0.7, (99, 11): 0.0}
+
+
+def test_unseen_features_keep_the_request(spark):
+    m = _model(spark)
+    new = spark.createDataFrame([(99, "never seen", 1.0)], "user long, feature string, weight double")
+    got = _scores(rank_mf.score_batch(m, spark.createDataFrame([(99, 10)], "user long, item long"), user_features=new))
+    assert got[99, 10] == pytest.approx(0.0 + 0.2)  # only the biases of x and id:10
+    vocabulary = spark.createDataFrame([("a",)], "feature string")
+    with pytest.raises(ValueError, match="1 features missing"):
+        rank_mf.score_batch(m, spark.createDataFrame([(99, 10)], "user long, item long"), user_features=new, user_vocabulary=vocabulary)
+    twice = spark.createDataFrame([(99, "a", 1.0), (99, "a", 2.0)], "user long, feature string, weight double")
+    with pytest.raises(ValueError, match="more than one row"):
+        rank_mf.score_batch(m, spark.createDataFrame([(99, 10)], "user long, item long"), user_features=twice)
+
+
+def test_all_items_and_passed_item_features(spark):
+    m = _model(spark, user_feats=False)
+    users = spark.createDataFrame([(1,), (2,)], "user long")
+    assert len(_scores(rank_mf.score_batch(m, users))) == 6
+    feats = spark.createDataFrame([(10, "y", 1.0), (77, "x", 1.0)], "item long, feature string, weight double")
+    got = _scores(rank_mf.score_batch(m, users, item_features=feats))
+    assert set(got) == {(u, i) for u in (1, 2) for i in (10, 77)}
+    # user 1 = [1, 1], bias 0; item 77 = x = [5, 1]; item 10 = y + id:10 = [6 + 7, 2], biases 0.1 + 0.2
+    assert got[1, 77] == pytest.approx(6.0) and got[1, 10] == pytest.approx(15.3)
+
+
+def test_negative_values_train_against_the_pair(spark):
+    rows = [(u, i, 1.0 if (u + i) % 2 == 0 else -1.0) for u in range(8) for i in range(8)]
+    df = spark.createDataFrame(rows, "user long, item long, value double")
+    assert rank_mf._labelled(df, None, "value", True).where("y < 0").count() == 32
+    assert rank_mf._labelled(df, None, "value").count() == 32
+    m = rank_mf.fit_rank_mf(df, loss="logistic", dim=8, epochs=8, learning_rate=0.2, seed=1, value="value")
+    got = _scores(rank_mf.score_batch(m, df.select("user", "item")))
+    pos, neg = ([s for (u, i), s in got.items() if ((u + i) % 2 == 0) == want] for want in (True, False))
+    assert np.mean(pos) > np.mean(neg) + 0.5
+
+
+def test_saved_model_resumes_as_in_memory(spark, tmp_path):
+    likes = planted(spark)
+    kw = dict(loss="bpr", dim=4, epochs=1, learning_rate=0.1, seed=3)
+    m = rank_mf.fit_rank_mf(likes, **kw)
+    rank_mf.save_model(m, str(tmp_path / "m"))
+    back = rank_mf.load_model(spark, str(tmp_path / "m"))
+    a, b = (sorted((r.feature, r.vec) for r in rank_mf.resume(x, likes, 1).item_state.collect()) for x in (m, back))
+    assert back.params == m.params and [k for k, _ in a] == [k for k, _ in b]
+    assert np.allclose([v for _, v in a], [v for _, v in b])
+
+
+def test_als_saved_cold_ids_and_empty_search(spark, tmp_path):
+    rows = [(u, (u * 7 + k) % 25, float(1 + (u + k) % 5)) for u in range(30) for k in range(6)]
+    ratings = spark.createDataFrame(rows, "user long, item long, rating double")
+    fit = als.fit_als(ratings, rank=3, reg=0.1, iters=2, seed=1)
+    als.save_fit(fit, str(tmp_path / "als"))
+    pairs = spark.createDataFrame([(1, 3), (2 ** 40, 3), (1, 2 ** 50)], "user long, item long")
+    got = [sorted((r.user, r.item, r.prediction) for r in als.score_als(f, pairs).collect()) for f in (fit, als.load_fit(spark, str(tmp_path / "als")))]
+    assert got[0] == got[1] and len(got[0]) == 1
+    items = spark.createDataFrame([(i, f"t{i}", "g") for i in range(25)], "item long, title string, genres string")
+    for mode in ("refit", "fold_in"):
+        assert als.recommend_by_title(ratings, items, "no such", 5, rank=2, iters=1, mode=mode).count() == 0
+    plan = als.recommend_all_users(fit, 3)._jdf.queryExecution().executedPlan().toString()
+    assert "Cartesian" not in plan
+
+
+def test_tiny_scores_rank_as_they_are_and_diverged_models_fail(spark):
+    left = spark.createDataFrame([(0, [1.0])], "id long, vec array<double>")
+    right = spark.createDataFrame([(1, [1e-8]), (2, [4e-7])], "id long, vec array<double>")
+    got = block_top_k(left, right, 2, left_key="id", right_key="id", out_left="u", out_right="i").orderBy("rank").collect()
+    assert [r.i for r in got] == [2, 1]
+    bad = spark.createDataFrame([(1, [float("nan")])], "id long, vec array<double>")
+    with pytest.raises(Exception, match="not finite"):
+        block_top_k(left, bad, 1, left_key="id", right_key="id").collect()
+
+
+def test_auc_of_a_user_with_a_third_of_all_positives(spark):
+    rng = np.random.default_rng(5)
+    users, items = np.round(rng.normal(size=(9, 3)), 2), np.round(rng.normal(size=(200, 3)), 2)
+    df = lambda m: spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(m)], "id long, vec array<double>")
+    pos = {(0, i) for i in range(0, 120)} | {(u, (u * 13 + k) % 200) for u in range(1, 9) for k in range(25)}
+    got = {r.id: r.auc for r in block_auc(df(users), df(items), spark.createDataFrame(sorted(pos), "u long, i long"), left_key="id", right_key="id",
+                                          chunk=4, chunks_per_part=3, block_rows=20).collect()}
+    s = users @ items.T
+    for u in range(9):
+        p = [i for x, i in pos if x == u]
+        n = [i for i in range(200) if (u, i) not in pos]
+        wins = sum((s[u, a] > s[u, b]) + 0.5 * (s[u, a] == s[u, b]) for a in p for b in n)
+        assert got[u] == pytest.approx(wins / len(p) / len(n))
+
+
+def test_kcore_of_a_long_chain_and_of_nothing_to_remove(spark):
+    chain = spark.createDataFrame([(i // 2 + i % 2, i // 2) for i in range(40)], "user long, item long")
+    assert kcore.kcore(chain, 2, 2).count() == 0
+    full = spark.createDataFrame([(u, i, 1.0) for u in range(4) for i in range(4)], "user long, item long, value double")
+    assert kcore.kcore(full, 4, 4).count() == 16
+
+
+def test_similar_items_scores_only_the_requested(spark):
+    vecs = spark.createDataFrame([(i, [float(i), 1.0]) for i in range(12)], "id long, vec array<double>")
+    wanted = spark.createDataFrame([(3,), (5,)], "item long")
+    got = sim.item_similarity(vecs, 2, items=wanted).collect()
+    assert {r.item for r in got} == {3, 5} and len(got) == 4
+
+
+def test_report_with_and_without_train_pairs(spark):
+    v = spark.createDataFrame([(i, [float(i % 5), 1.0]) for i in range(10)], "id long, vec array<double>")
+    train = spark.createDataFrame([(0, 4), (1, 9)], "user long, item long")
+    test = spark.createDataFrame([(0, 3), (1, 8)], "user long, item long")
+    a, b = (ev.report(v, v, train, test, 2, exclude_train=x).where("split = 'test'").first() for x in (True, False))
+    assert a.precision >= b.precision and ev.report(v, v, train, test, 2, splits=("test",)).count() == 1
