@@ -172,6 +172,8 @@ def repeated_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     # a key held by one document only (a false suspect, or repeated inside it) drops out here
     owners = (lines.groupBy("key").agg(F.min("doc").alias("owner"), F.max("doc").alias("last"))
               .where("owner < last").select(F.col("key").alias("k"), "owner"))
+    # written, so that the join has exchanges of its own, whose hot keys Spark can split
+    owners, _ = materialize(owners)
     return (lines.join(owners, F.col("key") == F.col("k")).where("doc <> owner")
             .groupBy("doc").agg(F.collect_set("line").alias("lines")))
 
