@@ -2,8 +2,7 @@
 
 Subpackages: ``sources`` (readers, sinks, driver-table mappings), ``functions``
 (column expressions), ``operators`` (relational, encoding, splits, k-core, blocked
-scoring, metrics, models), ``plans`` (registered queries with SQL oracles),
-``streaming`` (see its docstring).
+scoring, metrics, models), ``plans`` (registered queries with SQL oracles).
 """
 
 from .session import cut_lineage, ensure_checkpoint_dir, local_session
