@@ -86,7 +86,7 @@ def _emit_bits(batches, bits: int, min_chars: int):
             if len(h):
                 parts.append((h, ids[a:b][row[full]]))
                 held += len(h)
-        if held > 2_000_000:
+        if held > 400_000:
             yield flush(parts)
             parts, held = [], 0
     if parts:
@@ -180,7 +180,7 @@ def repeated_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
 
 def _apply(batches, n_in: int):
     """Rebuild each text without its dropped lines; adds n_lines, n_dropped."""
-    for batch in batches:
+    for batch in tx.small_batches(batches):
         kept, total, lost = [], [], []
         for text, drop in zip(batch.column(n_in).to_pylist(), batch.column(n_in + 1).to_pylist()):
             parts = (text or "").split("\n")

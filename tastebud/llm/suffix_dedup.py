@@ -289,7 +289,7 @@ def _stop(at, min_len: int):
 def _contexts(batches, min_len: int):
     """(doc, text, sources) -> one row per source with the bytes of its context."""
     schema = pa.schema([("doc", pa.int64()), ("anchor", pa.int64()), ("start", pa.int64()), ("bytes", pa.binary()), ("is_hot", pa.bool_())])
-    for batch in batches:
+    for batch in tx.small_batches(batches):
         for doc, text, sources in zip(*(c.to_pylist() for c in batch.columns)):
             raw = (text or "").encode()
             spans = [(s["anchor"], s["start"], s["stop"], s["hot"]) for s in sources if s["stop"] <= len(raw)]
@@ -376,7 +376,7 @@ def repeated_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
 
 def _remove(batches, n_in: int):
     """(columns, text, spans) -> columns, the remaining bytes' digest, counts and the maximal removed runs."""
-    for batch in batches:
+    for batch in tx.small_batches(batches):
         kept, sizes, removed, runs, digests = [], [], [], [], []
         for text, spans in zip(batch.column(n_in).to_pylist(), batch.column(n_in + 1).to_pylist()):
             raw = (text or "").encode()

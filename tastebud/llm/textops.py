@@ -15,7 +15,7 @@ import pyarrow as pa
 
 U = np.uint64
 #: one block holds about this many bytes (or one longer text)
-BLOCK_BYTES = 2 << 20
+BLOCK_BYTES = 1 << 19
 
 
 def mix(x: np.ndarray) -> np.ndarray:
@@ -103,6 +103,14 @@ def text_blocks(column: pa.Array, size: int = BLOCK_BYTES) -> Iterator[tuple[int
     release()
 
 
+def small_batches(batches, rows: int = 500) -> Iterator[pa.RecordBatch]:
+    """The batches in pieces of a few rows, for kernels that make Python objects of their texts."""
+    for batch in batches:
+        for i in range(0, batch.num_rows, rows):
+            yield batch.slice(i, rows)
+        release()
+
+
 def word_spans(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Start, end and text index of every word of a block."""
     n = len(data)
