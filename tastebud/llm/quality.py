@@ -124,7 +124,8 @@ def kneser_ney(counts: DataFrame, order: int = ORDER) -> DataFrame:
     """(lang, gram, p): interpolated modified Kneser-Ney probability of each n-gram's last byte."""
     levels = [counts]
     for k in range(order - 1, 0, -1):  # continuation counts: in how many longer n-grams it is the end
-        levels.append(levels[-1].groupBy("lang", F.col("gram").bitwiseAND(F.lit((1 << 8 * k) - 1)).alias("gram")).agg(F.count("*").alias("n")))
+        shorter = levels[-1].groupBy("lang", F.col("gram").bitwiseAND(F.lit((1 << 8 * k) - 1)).alias("gram")).agg(F.count("*").alias("n"))
+        levels.append(materialize(shorter)[0])  # read four times below; keeps each step's plan small
     lower = None
     for k, level in enumerate(reversed(levels), start=1):
         of = [F.sum((F.col("n") == i).cast("long")).cast("double").alias(f"n{i}") for i in (1, 2, 3, 4)]
@@ -142,6 +143,7 @@ def kneser_ney(counts: DataFrame, order: int = ORDER) -> DataFrame:
             rows = rows.withColumn("suffix", suffix).join(lower.select("lang", F.col("gram").alias("suffix"), F.col("p").alias("below")), ["lang", "suffix"])
             below = F.col("below")
         lower = rows.select("lang", "gram", ((F.col("n") - F.col("d")) / F.col("all") + F.col("saved") / F.col("all") * below).alias("p"))
+        lower, _ = materialize(lower)
     return lower
 
 
@@ -271,7 +273,7 @@ def measure(docs: DataFrame, keep: list[str], lang_col: str = "lang", text_col:
     """Columns ``keep`` as c0.., lang, and the metrics with the model of all of ``docs``; written once."""
     spark = docs.sparkSession
     counts, _ = materialize(ngram_counts(docs, lang_col, text_col, order))
-    model, _ = materialize(kneser_ney(counts, order))
+    model = kneser_ney(counts, order)
     entries = model.count()
     plain = docs.select(*[F.col(f"`{c}`").alias(f"c{i}") for i, c in enumerate(keep)], _language(lang_col).alias(f"c{len(keep)}"))
     n = len(plain.columns)
@@ -279,7 +281,9 @@ def measure(docs: DataFrame, keep: list[str], lang_col: str = "lang", text_col:
     given = docs.select(*[F.col(f"`{c}`").alias(f"c{i}") for i, c in enumerate(keep)], _language(lang_col).alias(f"c{n - 1}"), _language(lang_col), F.col(f"`{text_col}`"))
     if entries <= max_entries:
         shared = spark.sparkContext.broadcast(load_models(model))
-        return materialize(given.mapInArrow(lambda it: _measure(it, n, order, shared), schema))[0]
+        measured, _ = materialize(given.mapInArrow(lambda it: _measure(it, n, order, shared), schema))
+        shared.destroy()  # the scores are written
+        return measured
     # number the rows by writing them once, then gather each row's score by a join
     numbered, _ = materialize(given.toDF(*[f"c{i}" for i in range(n)], "lang_in", "text_in").withColumn("r", F.monotonically_increasing_id()))
     grams = numbered.select("r", "lang_in", "text_in").mapInArrow(lambda it: _doc_grams(it, order), "r long, lang string, gram long, n long")
