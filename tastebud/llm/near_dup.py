@@ -6,13 +6,13 @@
    sorted by signature are its prefix trie: a row's longest match is the longest prefix that it
    shares with a neighbour.  Rows whose longest match is shorter than ``SHALLOWEST`` in every
    tree are done.
-3. Prefixes are shortened step by step.  At each depth the rows with equal prefixes in a tree
-   form a bucket; buckets holding the same rows as one already compared are skipped; the pairs
-   of the others are compared exactly, on the shingle sets of their texts.  A pair is compared
-   in the first tree and at the first depth where it matches.
-4. After each depth the found links give an estimate of those missed: a link of similarity s
-   matches with probability P(s) = 1 - (1 - s^depth)^TREES, so it stands for (1 - P) / P missed
-   ones.  Prefixes are shortened until the estimated recall reaches the target.
+3. A pair of similarity s has equal prefixes of length k in some tree with probability
+   P(s) = 1 - (1 - s^k)^TREES.  The prefix length is the greatest of ``DEPTHS`` whose P at the
+   threshold itself reaches the target (4 by default), so every link is found with at least that
+   probability, whatever other links the table holds.
+4. The rows with equal prefixes in a tree form a bucket; of buckets holding the same rows one is
+   compared: its pairs exactly, on the shingle sets of their texts.  A pair is compared in the
+   first tree where it matches.
 
 Large buckets are cut into chunks, and each pair of chunks is one task group, so no group is
 unbounded and no pairs are emitted: a group returns, per row, the number of its links and the
@@ -136,8 +136,8 @@ def _longest_match(batches, depth: int, shallowest: int):
         yield out(last[0], last[1], last[2], np.array([last[3]]))
 
 
-def _links_of(texts: list[str], open_: np.ndarray, n: int, threshold: float) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Row, row and exact Jaccard similarity of the pairs of ``open_`` that reach the threshold."""
+def _links_of(texts: list[str], open_: np.ndarray, n: int, threshold: float) -> tuple[np.ndarray, np.ndarray]:
+    """Row and row of the pairs of ``open_`` that reach the threshold."""
     raw = [t.encode() for t in texts]
     offsets = np.concatenate([[0], np.cumsum([len(r) for r in raw])])
     parts = [tx.shingle_hashes(np.frombuffer(b"".join(raw[a:b]), np.uint8), offsets[a:b + 1] - offsets[a], n) + (a,) for a, b in tx.blocks(offsets)]
@@ -166,32 +166,30 @@ def _links_of(texts: list[str], open_: np.ndarray, n: int, threshold: float) ->
     both = inter[i, j].astype(np.float64)
     union = size[i] + size[j] - both
     ok = both >= threshold * union - 1e-9
-    return i[ok], j[ok], both[ok] / union[ok]
+    return i[ok], j[ok]
 
 
 LINK_SCHEMA = "kind string, a long, b long, n long"
 
 
 def _compare(tree: int, side: np.ndarray, v: np.ndarray, copies: np.ndarray, signatures: list[bytes], texts: list[str],
-             n: int, threshold: float, trees: int, depth: int, k: int, previous: int) -> list[tuple]:
-    """One group, a bucket's chunk or two of them (``side``): links per row, edges of a spanning forest, similarities found."""
+             n: int, threshold: float, trees: int, depth: int, k: int) -> list[tuple]:
+    """One group, a bucket's chunk or two of them (``side``): links per row, edges of a spanning forest."""
     sig = np.frombuffer(b"".join(signatures), np.uint16).reshape(len(v), trees, depth)
     open_ = np.zeros((len(v), len(v)), bool)
     open_[np.triu_indices(len(v), 1)] = True
     if side.any():
         open_ &= side[:, None] != side[None, :]
-    # matched before: deeper in any tree, as deep in an earlier tree
-    for t in range(trees):
-        deep = previous if t >= tree else k
-        if deep:
-            if len(v) <= 64:
-                open_ &= (sig[:, None, t, :deep] != sig[None, :, t, :deep]).any(axis=2)
-            else:
-                key = np.unique(np.ascontiguousarray(sig[:, t, :deep]).view(np.dtype((np.void, 2 * deep))).ravel(), return_inverse=True)[1]
-                open_ &= key[:, None] != key[None, :]
+    # matched before: in an earlier tree
+    for t in range(tree):
+        if len(v) <= 64:
+            open_ &= (sig[:, None, t, :k] != sig[None, :, t, :k]).any(axis=2)
+        else:
+            key = np.unique(np.ascontiguousarray(sig[:, t, :k]).view(np.dtype((np.void, 2 * k))).ravel(), return_inverse=True)[1]
+            open_ &= key[:, None] != key[None, :]
     if not open_.any():
         return []
-    i, j, sim = _links_of(texts, open_, n, threshold)
+    i, j = _links_of(texts, open_, n, threshold)
     if not len(i):
         return []
     links = np.bincount(i, weights=copies[j], minlength=len(v)) + np.bincount(j, weights=copies[i], minlength=len(v))
@@ -205,9 +203,7 @@ def _compare(tree: int, side: np.ndarray, v: np.ndarray, copies: np.ndarray, sig
         if (new == label).all():
             break
         label = new
-    rows += [("edge", int(v[label[x]]), int(v[x]), None) for x in np.flatnonzero(label != np.arange(len(v)))]
-    bins, found = np.unique(np.floor(sim * 100).astype(int), return_counts=True)
-    return rows + [("found", int(x), None, int(c)) for x, c in zip(bins, found)]
+    return rows + [("edge", int(v[label[x]]), int(v[x]), None) for x in np.flatnonzero(label != np.arange(len(v)))]
 
 
 def _compare_groups(batches, *how):
@@ -241,8 +237,8 @@ def _compare_groups(batches, *how):
         yield out()
 
 
-def estimated_recall(found: dict[int, int], depth: int, trees: int) -> float:
-    """Share of links found, from the similarities (in hundredths) of those found down to ``depth``."""
+def estimated_recall(found: dict[float, int], depth: int, trees: int) -> float:
+    """Share of links found at ``depth``, from the similarities (in hundredths) of those found."""
     seen = missed = 0.0
     for s, c in found.items():
         p = 1 - (1 - (s / 100) ** depth) ** trees
@@ -270,7 +266,6 @@ class Forest:
 
     def __init__(self, docs: DataFrame, n: int = N, threshold: float = THRESHOLD, trees: int = TREES, depth: int = DEPTH, shallowest: int = SHALLOWEST, chunk: int = CHUNK):
         self.n, self.threshold, self.trees, self.depth, self.shallowest, self.chunk = n, threshold, trees, depth, shallowest, chunk
-        self.found: dict[int, int] = {}
         named = docs.where("id IS NOT NULL")
         self.signed, _ = materialize(named.mapInArrow(lambda it: _sign(it, n, trees, depth), "doc long, v long, w long, signature binary"))
         self.classes, _ = materialize(self.signed.groupBy("v", "w").agg(F.min("doc").alias("doc"), F.count("*").alias("copies"), F.min("signature").alias("signature")))
@@ -283,7 +278,6 @@ class Forest:
         texts = wanted.join(named.select("id", "text"), F.col("doc") == F.col("id")).select("text", "doc", "v", "w", "copies", "signature")
         tagged = texts.mapInArrow(self._keep_own, "v long, copies long, signature binary, text string")
         self.texts, _ = materialize(tagged.dropDuplicates(["v"]) if self._repeated_ids(named) else tagged)
-        self.compared = None
 
     @staticmethod
     def _keep_own(batches):
@@ -301,18 +295,13 @@ class Forest:
     def _repeated_ids(named: DataFrame) -> bool:
         return not named.groupBy("id").count().where("count > 1").isEmpty()
 
-    def links_at(self, k: int, previous: int) -> DataFrame:
-        """Compare the pairs that match at depth ``k`` and didn't at ``previous`` (0: nothing compared yet)."""
+    def links_at(self, k: int) -> DataFrame:
+        """Compare the pairs that match at depth ``k``."""
         n, threshold, trees, depth, chunk = self.n, self.threshold, self.trees, self.depth, self.chunk
         at = self.rows.where(F.col("longest") >= k).select("v", "tree", F.substring("prefix", 1, 2 * k).alias("prefix"))
         buckets = at.groupBy("tree", "prefix").agg(F.count("*").alias("size"), F.sum(F.xxhash64("v").cast("decimal(30,0)")).alias("s"), F.bit_xor(F.xxhash64("v", F.lit(1))).alias("x"))
-        # of buckets with the same rows the first tree's, unless it was compared at a greater depth
-        first = buckets.groupBy("size", "s", "x").agg(F.min(F.struct("tree", "prefix")).alias("bucket"))
-        if self.compared is not None:
-            first = first.join(self.compared, ["size", "s", "x"], "left_anti")
-        first, _ = materialize(first)
-        seen = first.select("size", "s", "x")
-        self.compared = seen if self.compared is None else self.compared.union(seen)
+        # of buckets with the same rows the first tree's
+        first, _ = materialize(buckets.groupBy("size", "s", "x").agg(F.min(F.struct("tree", "prefix")).alias("bucket")))
         chosen = first.select(F.col("bucket.tree").alias("tree"), F.col("bucket.prefix").alias("prefix"), F.ceil(F.col("size") / chunk).cast("int").alias("chunks"))
         members = at.join(chosen, ["tree", "prefix"]).withColumn("chunk", F.pmod(F.xxhash64("v", F.lit(2)), F.col("chunks")).cast("int"))
         cells = (members.select("*", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)).alias("other"))
@@ -320,20 +309,12 @@ class Forest:
         full = cells.join(self.texts, "v")
         dealt = full.repartition("tree", "prefix", "lo", "hi").sortWithinPartitions("tree", "prefix", "lo", "hi", "chunk", "v")
         return dealt.select("tree", "prefix", "lo", "hi", "chunk", "v", "copies", "signature", "text").mapInArrow(
-            lambda it: _compare_groups(it, n, threshold, trees, depth, k, previous), LINK_SCHEMA)
+            lambda it: _compare_groups(it, n, threshold, trees, depth, k), LINK_SCHEMA)
 
     def run(self, target: float = TARGET_RECALL, depths: tuple[int, ...] = DEPTHS) -> DataFrame:
-        """All link rows, prefixes shortened until the estimated recall reaches the target."""
-        links, previous = None, 0
-        for k in depths:
-            new, _ = materialize(self.links_at(k, previous))
-            links = new if links is None else links.union(new)
-            for r in new.where("kind = 'found'").groupBy("a").agg(F.sum("n").alias("n")).collect():  # at most 101 rows
-                self.found[r.a] = self.found.get(r.a, 0) + r.n
-            previous = k
-            if estimated_recall(self.found, k, self.trees) >= target:
-                break
-        return links
+        """All link rows, at the longest prefixes that find a link at the threshold itself with probability ``target``."""
+        enough = [k for k in depths if estimated_recall({100 * self.threshold: 1}, k, self.trees) >= target]
+        return materialize(self.links_at(max(enough) if enough else min(depths)))[0]
 
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", target: float = TARGET_RECALL, **options) -> DataFrame:

@@ -100,6 +100,17 @@ def test_recall_at_the_threshold(spark):
     assert sum(n for *_, n in found) >= 0.995 * 800
 
 
+def test_large_group_hides_no_missed_pairs(spark):
+    """Isolated pairs of similarity exactly 0.8 beside a group whose links outnumber theirs by far."""
+    rows = [(10_000 + i, " ".join([*(f"b{j}" for j in range(40)), f"e{i}"])) for i in range(500)]
+    for i in range(400):
+        w = [f"t{i}x{j}" for j in range(49)]
+        rows += [(2 * i, " ".join(w)), (2 * i + 1, " ".join([*w[:-5], *(f"u{i}y{j}" for j in range(5))]))]
+    found = {d: (c, n) for d, c, n in run(spark, rows)}
+    assert all(found[10_000 + i] == (10_000, 499) for i in range(500))
+    assert [i for i in range(400) if found[2 * i] != (2 * i, 1) or found[2 * i + 1] != (2 * i, 1)] == []
+
+
 def test_defined_cases(spark):
     rows = [(1, None), (2, ""), (3, " \n"), (4, "a"), (5, "A"), (6, "a b c d"), (7, "a b c d"), (8, "a b c d e"), (None, "a b c d e"), (None, "a b c d e"), (9, "a b c d e f"), (10, "x " * 50_000), (11, "x " * 50_000), (12, "x " * 4)]
     got, want = run(spark, rows), brute(rows)
