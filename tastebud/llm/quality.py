@@ -9,9 +9,10 @@ probabilities, with a directory over the leading hash bits.  While all entries f
 
 A document is kept if it passes the base rules and its log perplexity per word, ``-log p(text) /
 n_words``, lies inside its language's band, ``median - LOW * spread .. median + HIGH * spread``.
-Median and spread (the distance between the quartiles) are those of the language's documents that
-pass the base rules, all of them counted.  Means over short texts scatter more, so both limits
-widen by ``1 + SHORT_BYTES / n_bytes``.
+Median and spread (the distance between the quartiles) are those of the language's distinct texts
+that pass the base rules, so copies of a text weigh as one; the spread is ``MIN_SPREAD`` times the
+median at least, so a group of near copies doesn't close the band around itself.  Means over short
+texts scatter more, so both limits widen by ``1 + SHORT_BYTES / n_bytes``.
 
 Defined cases: null or empty text has no words and fails the base rules; a null language is a
 language of its own; repeated rows are counted and judged one by one; an empty table gives an
@@ -35,6 +36,8 @@ GRAM_BLOCK = 1 << 19
 MAX_ENTRIES = 6_000_000
 MIN_WORDS, MAX_REPEAT_PERCENT, WINDOW = 20, 30, 8
 LOW, HIGH, SHORT_BYTES = 9.0, 4.5, 400
+#: least spread of a band, as a share of its median (0.041 to 0.055 in the languages of the test tables)
+MIN_SPREAD = 0.02
 _SYMBOL = np.zeros(256, bool)
 _SYMBOL[list(b"#*$%&|<>")] = True
 
@@ -270,15 +273,15 @@ def load_models(model: DataFrame) -> dict[str, tuple]:
 
 
 def measure(docs: DataFrame, keep: list[str], lang_col: str = "lang", text_col: str = "text", order: int = ORDER, max_entries: int = MAX_ENTRIES) -> DataFrame:
-    """Columns ``keep`` as c0.., lang, and the metrics with the model of all of ``docs``; written once."""
+    """Columns ``keep`` as c0.., lang, a hash of the text, and the metrics with the model of all of ``docs``; written once."""
     spark = docs.sparkSession
     counts, _ = materialize(ngram_counts(docs, lang_col, text_col, order))
     model = kneser_ney(counts, order)
     entries = model.count()
-    plain = docs.select(*[F.col(f"`{c}`").alias(f"c{i}") for i, c in enumerate(keep)], _language(lang_col).alias(f"c{len(keep)}"))
+    plain = docs.select(*[F.col(f"`{c}`").alias(f"c{i}") for i, c in enumerate(keep)], _language(lang_col).alias(f"c{len(keep)}"), F.xxhash64(F.col(f"`{text_col}`")).alias(f"c{len(keep) + 1}"))
     n = len(plain.columns)
     schema = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in plain.schema) + ", " + METRICS
-    given = docs.select(*[F.col(f"`{c}`").alias(f"c{i}") for i, c in enumerate(keep)], _language(lang_col).alias(f"c{n - 1}"), _language(lang_col), F.col(f"`{text_col}`"))
+    given = docs.select(*[F.col(f"`{c}`").alias(f"c{i}") for i, c in enumerate(keep)], _language(lang_col).alias(f"c{n - 2}"), F.xxhash64(F.col(f"`{text_col}`")).alias(f"c{n - 1}"), _language(lang_col), F.col(f"`{text_col}`"))
     if entries <= max_entries:
         shared = spark.sparkContext.broadcast(load_models(model))
         measured, _ = materialize(given.mapInArrow(lambda it: _measure(it, n, order, shared), schema))
@@ -294,13 +297,14 @@ def measure(docs: DataFrame, keep: list[str], lang_col: str = "lang", text_col:
     return materialize(joined.drop(f"c{n}", "r", "score"))[0]
 
 
-def judge(measured: DataFrame, lang: str, low: float = LOW, high: float = HIGH) -> DataFrame:
+def judge(measured: DataFrame, lang: str, text_hash: str, low: float = LOW, high: float = HIGH) -> DataFrame:
     """Adds base_failed, log_perplexity and kept."""
     x = F.when(F.col("n_words") > 0, -F.col("log_prob") / F.greatest("n_words", F.lit(1))).otherwise(F.lit(0.0))
     failed = (F.col("n_words") < MIN_WORDS) | (100 * F.col("n_repeat_words") > MAX_REPEAT_PERCENT * F.col("n_words"))
     rows = measured.withColumns({"base_failed": failed, "log_perplexity": x})
-    bands = (rows.where(~F.col("base_failed")).groupBy(lang).agg(F.percentile_approx("log_perplexity", [0.25, 0.5, 0.75], 10000).alias("q"))
-             .select(F.col(lang).alias("band_lang"), F.col("q")[1].alias("median"), (F.col("q")[2] - F.col("q")[0]).alias("spread")))
+    distinct = rows.where(~F.col("base_failed")).groupBy(lang, text_hash, "n_bytes").agg(F.min("log_perplexity").alias("log_perplexity"))
+    bands = (distinct.groupBy(lang).agg(F.percentile_approx("log_perplexity", [0.25, 0.5, 0.75], 10000).alias("q"))
+             .select(F.col(lang).alias("band_lang"), F.col("q")[1].alias("median"), F.greatest(F.col("q")[2] - F.col("q")[0], MIN_SPREAD * F.col("q")[1]).alias("spread")))
     rows = rows.join(bands, F.col(lang) == F.col("band_lang"), "left")
     wide = F.col("spread") * (1 + SHORT_BYTES / F.greatest("n_bytes", F.lit(1)))
     inside = F.col("log_perplexity").between(F.col("median") - low * wide, F.col("median") + high * wide)
@@ -309,12 +313,12 @@ def judge(measured: DataFrame, lang: str, low: float = LOW, high: float = HIGH)
 
 def quality_verdicts(docs: DataFrame, id_col: str = "doc_id", lang_col: str = "lang", text_col: str = "text", **options) -> DataFrame:
     """doc_id, the counts, base_failed, log_perplexity, kept: one row per row of ``docs``."""
-    rows = judge(measure(docs, [id_col], lang_col, text_col, **options), "c1")
+    rows = judge(measure(docs, [id_col], lang_col, text_col, **options), "c1", "c2")
     return rows.select(F.col("c0").alias("doc_id"), F.col("c1").alias("lang"), *_METRIC_NAMES, "base_failed", "log_perplexity", "median", "spread", "kept")
 
 
 def quality_stage(docs: DataFrame, lang_col: str = "lang", text_col: str = "text", **options) -> DataFrame:
     """The kept rows of ``docs``; same columns."""
     names = docs.columns
-    rows = judge(measure(docs, names, lang_col, text_col, **options), f"c{len(names)}")
+    rows = judge(measure(docs, names, lang_col, text_col, **options), f"c{len(names)}", f"c{len(names) + 1}")
     return rows.where("kept").select(*[F.col(f"c{i}").alias(c) for i, c in enumerate(names)])

@@ -127,6 +127,20 @@ def test_junk_is_rejected_and_prose_kept(spark):
     assert kept == set(range(400))
 
 
+@pytest.mark.parametrize("near", [False, True])
+def test_copies_do_not_close_the_band(spark, near):
+    """Copies (or near copies) hold 80 % of a language; the clean documents beside them stay."""
+    rnd = random.Random(7)
+    syllables = ["the", "and", "re", "th", "er", "on", "an", "in", "ing", "ea"]
+    prose = lambda n: " ".join("".join(rnd.choice(syllables) for _ in range(rnd.randint(1, 4))) for _ in range(n)) + "."
+    one = prose(300)
+    rows = [(i, "en", " ".join(prose(12) for _ in range(rnd.randint(3, 30)))) for i in range(60)]
+    rows += [(1000 + i, "en", f"{one[:-4]} {i % 7}" if near else one) for i in range(240)]
+    junk = [(2000 + i, "en", " ".join("".join(chr(rnd.randint(33, 126)) for _ in range(8)) for _ in range(80))) for i in range(3)]
+    kept = {r.doc_id for r in quality.quality_verdicts(frame(spark, rows + junk)).collect() if r.kept}
+    assert kept == {r[0] for r in rows}
+
+
 def test_stage_and_empty_table(spark):
     df = frame(spark, corpus(5))
     left = quality.quality_stage(df)
