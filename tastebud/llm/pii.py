@@ -5,7 +5,8 @@ by their octets, social security numbers by their excluded areas, dates by the c
 numbers by the plan of their format.  Each valid value is mapped to an integer domain of its
 format, permuted by a keyed alternating Feistel network (modular addition, SHA-256 rounds) and
 written back in the same format: separators, country code and the card's first digit stay, Luhn
-digits are recomputed, dates stay calendar dates.  The permutation depends on key and kind only,
+digits are recomputed, dates stay calendar dates (day first where both orders can be, of ISO
+timestamps the date is replaced and the time stays).  The permutation depends on key and kind only,
 so equal values have equal pseudonyms in all documents, however they are punctuated, and
 different values different ones.  E-mail names are permuted letter by letter and digit by digit
 in two halves; their domain stays.
@@ -27,12 +28,14 @@ KINDS = ("email", "date", "ssn", "phone", "ip", "card")
 
 EMAIL = r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9][A-Za-z0-9._%+-]{0,63}+@[A-Za-z0-9-]{1,63}(?:\.[A-Za-z0-9-]{1,63}){0,7}\.[A-Za-z]{2,24}(?![A-Za-z0-9-])"
 _LEFT, _RIGHT = r"(?<![0-9A-Za-z.+-])", r"(?![0-9A-Za-z])(?![.-][0-9])"
-DATE = r"(?:[0-9]{4}-[0-9]{2}-[0-9]{2}|[0-9]{2}/[0-9]{2}/[0-9]{4}|[0-9]{2}\.[0-9]{2}\.[0-9]{4})"
+ISO_DATE = r"[0-9]{4}-[0-9]{2}-[0-9]{2}"
+DATE = "(?:" + ISO_DATE + r"|[0-9]{2}/[0-9]{2}/[0-9]{4}|[0-9]{2}\.[0-9]{2}\.[0-9]{4})"
 SSN = r"[0-9]{3}-[0-9]{2}-[0-9]{4}"
 PHONE = r"(?:\+1[ .-]?\(?[0-9]{3}\)?[ .-]?[0-9]{3}[ .-]?[0-9]{4}|\([2-9][0-9]{2}\) ?[2-9][0-9]{2}[ .-][0-9]{4}|[2-9][0-9]{2}([.-])[2-9][0-9]{2}\1[0-9]{4})"
 IP = r"[0-9]{1,3}(?:\.[0-9]{1,3}){3}"
 CARD = r"(?:[0-9]{13,19}|[0-9]{4}([ -])[0-9]{4}\2[0-9]{4}\2[0-9]{1,7}|[0-9]{4}([ -])[0-9]{6}\3[0-9]{4,5})"
-NUMBERS = _LEFT.replace("+", "") + "(?:" + "|".join([DATE, SSN, PHONE, IP, CARD]) + ")" + _RIGHT
+#: an ISO date may be followed by its time
+NUMBERS = _LEFT.replace("+", "") + "(?:" + ISO_DATE + "(?=[Tt][0-9])|(?:" + "|".join([DATE, SSN, PHONE, IP, CARD]) + ")" + _RIGHT + ")"
 ANY = "(?:" + EMAIL + ")|(?:" + NUMBERS + ")"
 _FIRST_DAY = "1800-01-01"
 #: 400 Gregorian years are 146,097 = 27 * 5,411 days
@@ -130,11 +133,16 @@ def _ip_valid(m):
     return F.forall(F.split(m, r"\."), lambda x: (x.cast("int") <= 255) & ~x.rlike("^0[0-9]"))
 
 
+def _month_first(m):
+    """Whether a value that isn't an ISO date can only have the month first: the second number is no month."""
+    return F.substring(m, 4, 2) > "12"
+
+
 def _day(m):
     """The date of a value, day before month where both can be; null if there is none."""
-    iso, sep = m.rlike("^[0-9]{4}-"), F.regexp_replace(m, r"\.", "/")
-    day_first = F.concat_ws("-", F.substring(sep, 7, 4), F.substring(sep, 4, 2), F.substring(sep, 1, 2))
-    return F.try_to_date(F.when(iso, m).otherwise(day_first), "yyyy-MM-dd")
+    year, one, two = F.substring(m, 7, 4), F.substring(m, 1, 2), F.substring(m, 4, 2)
+    other = F.when(_month_first(m), F.concat_ws("-", year, one, two)).otherwise(F.concat_ws("-", year, two, one))
+    return F.try_to_date(F.when(m.rlike("^[0-9]{4}-"), m).otherwise(other), "yyyy-MM-dd")
 
 
 def _date_valid(m):
@@ -144,8 +152,10 @@ def _date_valid(m):
 
 def _write_date(m, d):
     iso = F.date_format(d, "yyyy-MM-dd")
-    sep = F.substring(m, 3, 1)
-    return F.when(m.rlike("^[0-9]{4}-"), iso).otherwise(F.concat(F.substring(iso, 9, 2), sep, F.substring(iso, 6, 2), sep, F.substring(iso, 1, 4)))
+    sep, year, month, day = F.substring(m, 3, 1), F.substring(iso, 1, 4), F.substring(iso, 6, 2), F.substring(iso, 9, 2)
+    # the month first only where ``_day`` reads it so: what is written reads as ``d``, and different dates differ
+    return (F.when(m.rlike("^[0-9]{4}-"), iso).when(_month_first(m) & (day > "12"), F.concat(month, sep, day, sep, year))
+            .otherwise(F.concat(day, sep, month, sep, year)))
 
 
 def _date(key, m):

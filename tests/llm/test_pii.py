@@ -72,6 +72,27 @@ def test_equal_values_stay_linked(spark):
     assert d.pii_spans[1].to == f"{day}/{m}/{y}" and d.pii_spans[2].to == f"{day}.{m}.{y}"
 
 
+def test_month_first_dates_and_timestamps(spark):
+    def read(x):
+        if x[4] == "-":
+            return datetime.date.fromisoformat(x)
+        a, b, y = map(int, re.split(r"[/.]", x))
+        return datetime.date(y, a, b) if b > 12 else datetime.date(y, b, a)
+
+    days = [datetime.date(1985 + i % 30, 1 + i % 12, 13 + i % 16) for i in range(200)]
+    rows = run(spark, [f"{d:%m/%d/%Y} {d:%m.%d.%Y} {d:%d/%m/%Y} {d} {d}T10:15:00Z, {d}t23:59" for d in days])
+    seen = set()
+    for d, r in zip(days, rows):
+        assert [(s.kind, read(s.m)) for s in r.pii_spans] == [("date", d)] * 6
+        (new,) = {read(s.to) for s in r.pii_spans}
+        assert new != d and r.pseudonymised.endswith(f" {new}T10:15:00Z, {new}t23:59") and str(d) not in r.pseudonymised
+        assert r.pii_spans[0].to == r.pii_spans[1].to.replace(".", "/")
+        seen.add(new)
+    assert len(seen) == len(set(days))
+    texts = ["13/13/2001", "02/30/2000", "00/25/2000", "2023-02-29T10:00", "2021-03-04Tuesday", "2021-03-045"]
+    assert [r.pseudonymised for r in run(spark, texts)] == texts
+
+
 def test_network_against_brute_force(spark):
     texts = ["10.20.30.40", "1999-12-31", "123-45-6789", "+1 (212) 555-1234"]
     ip, date, ssn, phone = [r.pii_spans[0].to for r in run(spark, texts)]
