@@ -4,7 +4,8 @@ The pre-tokenizer's pattern is ``'s|'t|'re|'ve|'m|'ll|'d| ?\\p{L}+| ?\\p{N}+|
 ?[^\\s\\p{L}\\p{N}]+|\\s+(?!\\S)|\\s+``.  Some byte positions are always a boundary of it whatever
 surrounds them (a space before a solid character, an ASCII letter before an ASCII punctuation
 mark, ...).  Texts are cut at those; the parts are looked up by hash in a sorted table of the
-parts met so far, and only parts not met before go through the tokenizers library.  Parts that
+parts met so far (a second, independent hash must agree, else the block goes through the library
+text by text), and only parts not met before go through the tokenizers library.  Parts that
 are one pre-token go straight to its BPE model, others (and every text holding a special
 token's string) through its whole pipeline.
 """
@@ -19,8 +20,8 @@ import numpy as np
 
 from . import textops as tx
 
-#: a worker forgets its table above this many parts (about 32 bytes each)
-MAX_PARTS = 6_000_000
+#: a worker forgets its table above this many parts (about 40 bytes each)
+MAX_PARTS = 5_000_000
 
 _WS = np.zeros(256, bool)
 _WS[[9, 10, 11, 12, 13, 32]] = True
@@ -80,6 +81,7 @@ class PartTable:
 
     def clear(self) -> None:
         self.keys = np.zeros(0, np.uint64)
+        self.second = np.zeros(0, np.uint64)  # another hash of the same parts
         self.first = np.zeros(0, np.int64)
         self.count = np.zeros(0, np.int32)
         self.pool = np.zeros(0, np.uint32)
@@ -99,7 +101,7 @@ class PartTable:
                 out[i] = e.ids
         return out
 
-    def add(self, keys: np.ndarray, parts: list[str]) -> None:
+    def add(self, keys: np.ndarray, second: np.ndarray, parts: list[str]) -> None:
         ids = self.encode_parts(parts)
         count = np.fromiter(map(len, ids), np.int32, len(ids))
         flat = np.fromiter((x for p in ids for x in p), np.uint32, int(count.sum()))
@@ -112,6 +114,7 @@ class PartTable:
         self.used += len(flat)
         at = np.searchsorted(self.keys, keys)
         self.keys = np.insert(self.keys, at, keys)
+        self.second = np.insert(self.second, at, second)
         self.first = np.insert(self.first, at, first)
         self.count = np.insert(self.count, at, count)
 
@@ -123,8 +126,9 @@ class PartTable:
             return np.zeros(0, np.uint32), np.zeros(n, np.int64)
         ends = np.append(starts[1:], len(data))
         row = np.searchsorted(offsets, starts, side="right") - 1
-        h = tx.span_hashes(data, starts, ends, tx.byte_values(False, 3))
+        h, g = tx.digests(data, starts, ends, False, 3, 4)
         keys, sample, inverse = np.unique(h, return_index=True, return_inverse=True)
+        second = g[sample]
         if len(self.keys) > MAX_PARTS:
             self.clear()
         at = np.searchsorted(self.keys, keys)
@@ -133,9 +137,11 @@ class PartTable:
         known[inside] = self.keys[at[inside]] == keys[inside]
         fresh = np.flatnonzero(~known)
         raw = data.tobytes()
+        if (second[inverse] != g).any() or (self.second[at[known]] != second[known]).any():
+            return self._one_by_one(raw, offsets)  # different parts under one hash
         if len(fresh):
             s, e = starts[sample[fresh]].tolist(), ends[sample[fresh]].tolist()
-            self.add(keys[fresh], [raw[x:y].decode("utf-8", "replace") for x, y in zip(s, e)])
+            self.add(keys[fresh], second[fresh], [raw[x:y].decode("utf-8", "replace") for x, y in zip(s, e)])
             at = np.searchsorted(self.keys, keys)
         count = self.count[at][inverse].astype(np.int64)
         first = self.first[at][inverse]
@@ -146,6 +152,11 @@ class PartTable:
             return self._with_special(raw, offsets, ids, per_text)
         return ids, per_text
 
+    def _one_by_one(self, raw, offsets):
+        texts = [raw[a:b].decode("utf-8", "replace") for a, b in zip(offsets, offsets[1:])]
+        ids = [np.array(e.ids, np.uint32) for e in self.tok.encode_batch_fast(texts, add_special_tokens=False)]
+        return np.concatenate(ids), np.array([len(x) for x in ids], np.int64)
+
     def _with_special(self, raw, offsets, ids, per_text):
         at = np.concatenate([[0], np.cumsum(per_text)])
         out = []

@@ -20,7 +20,7 @@ BLOCK_BYTES = 1 << 19
 
 def mix(x: np.ndarray) -> np.ndarray:
     """A bijection of 64-bit values with good avalanche (xor-shift-multiply finaliser)."""
-    x = np.asarray(x, dtype=U)
+    x = np.atleast_1d(np.asarray(x, dtype=U))
     x = (x ^ (x >> U(30))) * U(0xBF58476D1CE4E5B9)
     x = (x ^ (x >> U(27))) * U(0x94D049BB133111EB)
     return x ^ (x >> U(31))
@@ -54,13 +54,51 @@ def _powers(base: int, n: int) -> np.ndarray:
 
 
 def span_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, values: np.ndarray) -> np.ndarray:
-    """64-bit hash of ``data[s:e]`` for each span, from one prefix sum over the block."""
+    """64-bit hash of ``data[s:e]`` for each span (of a few hundred bytes at most), from one prefix sum over the block."""
     prefix = np.zeros(len(data) + 1, dtype=U)
     np.cumsum(values[data] * _powers(_BASE, len(data))[: len(data)], out=prefix[1:])
     return mix((prefix[ends] - prefix[starts]) * _powers(_INV, len(data) + 1)[starts]
                + (ends - starts).astype(U) * U(0xD6E8FEB86659FD93))
 
 
+#: the first k bytes of a little-endian 64-bit word
+_FIRST_BYTES = np.array([(1 << 8 * k) - 1 for k in range(9)], dtype=U)
+_LOWER = np.arange(256, dtype=np.uint8)
+_LOWER[65:91] += 32
+
+
+def digests(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, lower: bool, *seeds: int) -> list[np.ndarray]:
+    """One 64-bit hash of ``data[s:e]`` per seed for each span, A-Z as a-z when ``lower``.
+
+    A span is read as 8-byte words; each is mixed with its place before the words are summed, so
+    no two texts share a hash by their structure (``span_hashes`` is linear in its bytes: some
+    pairs of long runs over two letters collide whatever the base; it serves short windows only).
+    Hashes of different seeds are independent.
+    """
+    size = ends - starts
+    if not len(size):
+        return [np.zeros(0, U) for _ in seeds]
+    padded = np.zeros(len(data) + 8, np.uint8)
+    padded[: len(data)] = _LOWER[data] if lower else data
+    word_at = np.ndarray(len(data) + 1, "<u8", padded, strides=(1,))
+    parts = np.maximum((size + 7) >> 3, 1)
+    long_ = parts > 1
+    out = []
+    if not long_.any():
+        word = word_at[starts] & _FIRST_BYTES[size]
+        sums = [mix(word ^ mix(U(seed))) for seed in seeds]
+    else:
+        first = np.cumsum(parts) - parts
+        place = np.arange(int(first[-1] + parts[-1])) - np.repeat(first, parts)
+        left = np.minimum(np.repeat(size, parts) - 8 * place, 8)
+        word = word_at[np.repeat(starts, parts) + 8 * place] & _FIRST_BYTES[left]
+        place = place.astype(U) * U(0xD1342543DE82EF95)
+        sums = [np.add.reduceat(mix(word ^ mix(place + U(seed))), first) for seed in seeds]
+    for x, seed in zip(sums, seeds):
+        out.append(mix(x + size.astype(U) * U(0xD6E8FEB86659FD93) + U(seed)))
+    return out
+
+
 def text_arrays(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """Bytes and offsets of an Arrow string or binary column; nulls become empty."""
     if isinstance(column, pa.ChunkedArray):
@@ -166,7 +204,7 @@ def shingle_hashes(data: np.ndarray, offsets: np.ndarray, n: int,
     with A-Z lower-cased when ``lower``.
     """
     s, e, row = word_spans(data, offsets)
-    h = span_hashes(data, s, e, byte_values(lower))
+    h, = digests(data, s, e, lower, 1)
     sh, at = run_hashes(h, row, n)
     rows = row[at]
     count = np.bincount(row, minlength=len(offsets) - 1)

@@ -158,3 +158,12 @@ def test_query(spark):
     rows = [(r.doc_id, r.text) for r in spark.read.parquet(f"{SF}/documents.parquet").collect()]
     got = queries.op10_ngram_jaccard_join(spark, SF)
     assert sorted(((r.doc_id, r.class_id, r.n_links) for r in got.collect()), key=str) == brute(rows)
+
+
+def test_structured_runs_are_different_documents(spark):
+    from tests_runs import complements
+    texts = [t for size in (1024, 2048, 4096) for t in complements(size)]
+    rows = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = {tuple(r) for r in near_dup.near_duplicates(rows).collect()}
+    assert got == {(i, i, 0, 1) for i in range(len(texts))}
+    assert near_dup.near_duplicate_stage(rows).count() == len(texts)

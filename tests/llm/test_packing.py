@@ -138,3 +138,23 @@ def test_hot_length_is_numbered_in_cells(spark, monkeypatch):
     monkeypatch.setattr(packing, "CELL_ROWS", 50)
     df = spark.range(2000).select(F.col("id").alias("doc_id"), F.lit(0).alias("piece"), F.when(F.col("id") % 3 == 0, 700).otherwise(F.col("id") % 300 + 1).cast("int").alias("length"))
     check_layout(packing.assign_places(df).collect())
+
+
+def test_structured_runs_keep_their_own_ids():
+    from tests_runs import complements
+    path = queries.tokenizer_path()
+    for size in (1024, 2048, 4096):
+        texts = complements(size)
+        raw = [t.encode() for t in texts]
+        ids, count = bpe.PartTable(path).encode(np.frombuffer(b"".join(raw), np.uint8), np.array([0, size, 2 * size]))
+        want = [reference_ids(path, t) for t in texts]
+        assert ids.tolist() == want[0] + want[1] and count.tolist() == [len(x) for x in want]
+
+
+def test_parts_under_one_hash_go_through_the_library(monkeypatch):
+    path = queries.tokenizer_path()
+    whole = bpe.tx.digests
+    monkeypatch.setattr(bpe.tx, "digests", lambda d, s, e, low, *seeds: [x % np.uint64(5) if i == 0 else x for i, x in enumerate(whole(d, s, e, low, *seeds))])
+    text = "many different words here, all under five hashes"
+    ids, _ = bpe.PartTable(path).encode(np.frombuffer(text.encode(), np.uint8), np.array([0, len(text)]))
+    assert ids.tolist() == reference_ids(path, text)
