@@ -38,6 +38,8 @@ MIN_WORDS, MAX_REPEAT_PERCENT, WINDOW = 20, 30, 8
 LOW, HIGH, SHORT_BYTES = 9.0, 4.5, 400
 #: least spread of a band, as a share of its median (0.041 to 0.055 in the languages of the test tables)
 MIN_SPREAD = 0.02
+#: tables with one row per language are broadcast up to so many languages, counted first
+MAX_LANGUAGES = 10_000
 _SYMBOL = np.zeros(256, bool)
 _SYMBOL[list(b"#*$%&|<>")] = True
 
@@ -123,9 +125,15 @@ def ngram_counts(docs: DataFrame, lang_col: str = "lang", text_col: str = "text"
     return parts.groupBy("lang", "gram").agg(F.sum("n").alias("n"))
 
 
+def _small_side(of: DataFrame, lang: str):
+    """How to join ``of`` with one row per language: by broadcast while its languages are few, so
+    that rows never move by language."""
+    return F.broadcast if of.select(lang).distinct().count() <= MAX_LANGUAGES else (lambda df: df)
+
+
 def kneser_ney(counts: DataFrame, order: int = ORDER) -> DataFrame:
     """(lang, gram, p): interpolated modified Kneser-Ney probability of each n-gram's last byte."""
-    levels = [counts]
+    levels, small = [counts], _small_side(counts, "lang")
     for k in range(order - 1, 0, -1):  # continuation counts: in how many longer n-grams it is the end
         shorter = levels[-1].groupBy("lang", F.col("gram").bitwiseAND(F.lit((1 << 8 * k) - 1)).alias("gram")).agg(F.count("*").alias("n"))
         levels.append(materialize(shorter)[0])  # read four times below; keeps each step's plan small
@@ -136,7 +144,7 @@ def kneser_ney(counts: DataFrame, order: int = ORDER) -> DataFrame:
         cut = lambda i: F.when((F.col(f"n{i}") > 0) & (F.col("n1") > 0), F.greatest(F.lit(0.0), i - (i + 1) * y * F.col(f"n{i + 1}") / F.col(f"n{i}"))).otherwise(F.lit(0.5))
         cuts = level.groupBy("lang").agg(*of).select("lang", *[cut(i).alias(f"d{i}") for i in (1, 2, 3)])
         d = F.when(F.col("n") == 1, F.col("d1")).when(F.col("n") == 2, F.col("d2")).otherwise(F.col("d3"))
-        rows = level.join(cuts, "lang").select("lang", "gram", F.shiftright("gram", 8).alias("h"), F.col("n").cast("double").alias("n"), F.least(d, F.col("n")).alias("d"))
+        rows = level.join(small(cuts), "lang").select("lang", "gram", F.shiftright("gram", 8).alias("h"), F.col("n").cast("double").alias("n"), F.least(d, F.col("n")).alias("d"))
         context = rows.groupBy("lang", "h").agg(F.sum("n").alias("all"), F.sum("d").alias("saved"))
         rows = rows.join(context, ["lang", "h"])
         if lower is None:
@@ -190,7 +198,6 @@ def _repeats(data, offsets):
     total = lambda flags: np.diff(np.concatenate([[0], np.cumsum(flags)])[offsets])
     word_chars = total(((data & 0xC0) != 0x80) & ~tx.SPACE[data])
     n_symbols = total(_SYMBOL[data])
-    values = tx.byte_values(False, 9)
     salt = tx.mix(np.arange(n, dtype=np.uint64) + tx.U(11))
 
     def again(h):
@@ -203,7 +210,7 @@ def _repeats(data, offsets):
         at[at == len(twice)] = 0
         return twice[at] == h
 
-    windows, first = tx.run_hashes(tx.span_hashes(data, s, e, values), row, WINDOW)
+    windows, first = tx.run_hashes(tx.digests(data, s, e, False, 9)[0], row, WINDOW)
     edge = np.zeros(len(s) + 1, np.int64)
     if len(first):
         first = first[again(windows ^ salt[row[first]])]
@@ -213,7 +220,7 @@ def _repeats(data, offsets):
     ls, le, lrow = tx.line_spans(data, offsets)
     words_before = np.searchsorted(s, ls)
     full = np.flatnonzero(np.searchsorted(s, le) > words_before)
-    h = tx.span_hashes(data, ls[full], le[full], values) ^ salt[lrow[full]]
+    h = tx.digests(data, ls[full], le[full], False, 9)[0] ^ salt[lrow[full]]
     twice = again(h)
     h, r = h[twice], lrow[full][twice]
     _, keep = np.unique(h, return_index=True)
@@ -245,6 +252,8 @@ def _measure(batches, n_in: int, order: int, shared):
         yield pa.RecordBatch.from_arrays(
             [*batch.columns[:n_in], *[pa.array(c.astype(np.int64)) for c in columns[:6]], pa.array(columns[6].astype(np.float64))],
             names=[f"c{i}" for i in range(n_in)] + _METRIC_NAMES)
+    models.clear()  # the worker lives on
+    tx.release()
 
 
 def _doc_grams(batches, order: int):
@@ -305,7 +314,7 @@ def judge(measured: DataFrame, lang: str, text_hash: str, low: float = LOW, high
     distinct = rows.where(~F.col("base_failed")).groupBy(lang, text_hash, "n_bytes").agg(F.min("log_perplexity").alias("log_perplexity"))
     bands = (distinct.groupBy(lang).agg(F.percentile_approx("log_perplexity", [0.25, 0.5, 0.75], 10000).alias("q"))
              .select(F.col(lang).alias("band_lang"), F.col("q")[1].alias("median"), F.greatest(F.col("q")[2] - F.col("q")[0], MIN_SPREAD * F.col("q")[1]).alias("spread")))
-    rows = rows.join(bands, F.col(lang) == F.col("band_lang"), "left")
+    rows = rows.join(_small_side(measured, lang)(bands), F.col(lang) == F.col("band_lang"), "left")
     wide = F.col("spread") * (1 + SHORT_BYTES / F.greatest("n_bytes", F.lit(1)))
     inside = F.col("log_perplexity").between(F.col("median") - low * wide, F.col("median") + high * wide)
     return rows.withColumn("kept", ~F.col("base_failed") & F.coalesce(inside, F.lit(False))).drop("band_lang")

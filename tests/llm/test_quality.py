@@ -153,3 +153,25 @@ def test_query(spark):
     docs = spark.read.parquet(f"{SF}/documents.parquet").collect()
     got = queries.op9_quality_rules(spark, SF).collect()
     assert sorted((r.doc_id, r.n_words, r.word_chars, r.n_symbols, r.n_dup_lines, r.n_repeat_words, r.base_failed) for r in got) == sorted((d.doc_id, *base(d.text)) for d in docs)
+
+
+def test_structured_runs_are_no_repeats():
+    """Two-letter runs that are complements of each other are different lines and words."""
+    from tests_runs import complements
+    for size in (1024, 2048, 4096):
+        a, b = complements(size)
+        text = "\n".join([a, b, a + " " + "w " * 3, b + " " + "w " * 3]).encode()
+        data, offsets = np.frombuffer(text, np.uint8), np.array([0, len(text)])
+        got = quality._repeats(data, offsets)
+        assert [int(x[0]) for x in got] == list(base(text.decode())[:5])
+
+
+def test_nothing_moves_by_language(spark):
+    """Rows of one language may be a third of all: no exchange is keyed by the language alone."""
+    rows = spark.createDataFrame(corpus(3), "doc_id long, lang string, text string")
+    plan = quality.judge(quality.measure(rows, ["doc_id"]), "c1", "c2")
+    plan.collect()
+    text = plan._jdf.queryExecution().executedPlan().toString()
+    moved = [x for x in text.split("\n") if "Exchange hashpartitioning(c1#" in x and x.split("hashpartitioning(")[1].count(",") == 1]
+    assert "BroadcastHashJoin" in text and "SortMergeJoin" not in text
+    assert len(moved) <= 2, moved  # the bands' own aggregates: pre-aggregated rows only
