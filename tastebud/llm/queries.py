@@ -9,7 +9,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, decontaminate, line_dedup, near_dup, packing, pii, quality, secret_scan, spans, suffix_dedup, warc
+from . import (chat, decontaminate, fingerprint, lexical, line_dedup, near_dup, packing, pii, quality, secret_scan, spans, suffix_dedup, warc,
+               whitening)
 
 SQL: dict[str, str] = {}
 
@@ -148,6 +149,50 @@ def op10_ngram_jaccard_join(spark, d):
     return near_dup.near_duplicates(_table(spark, d, "documents").select("doc_id", "text"))
 
 
+def op11_document_fingerprints(spark, d):
+    return fingerprint.fingerprint_edits(_table(spark, d, "documents").select("doc_id", "text"))
+
+
+SQL["op11_document_fingerprints"] = r"""
+WITH d AS (SELECT doc_id, coalesce(text, '') AS t FROM documents),
+o AS (SELECT *, lead(t) OVER (ORDER BY doc_id DESC) AS after, first_value(t) OVER (ORDER BY doc_id DESC) AS top FROM d),
+x AS (SELECT doc_id, t, length(t) AS n_chars, coalesce(after, top) AS next FROM o),
+e AS (SELECT *, substring(t, 1, n_chars - n_chars // 3) || substring(next, 1, n_chars // 3) AS edited FROM x),
+v AS (SELECT doc_id, 1 AS kind, t AS s FROM e UNION ALL SELECT doc_id, 2, edited FROM e UNION ALL SELECT doc_id, 3, next FROM e),
+w AS (SELECT doc_id, kind, regexp_extract_all(s, '[^\x20\x09-\x0D]+') AS w FROM v),
+h AS (SELECT doc_id, kind, list_sort(list_distinct(list_filter(list_transform(generate_series(1, CASE WHEN len(w) = 0 THEN 0 ELSE greatest(len(w) - 4, 1) END),
+        lambda i: substring(md5(array_to_string(w[i : i + 4], ' ')), 1, 12)), lambda z: z < '40000000'))) AS k FROM w),
+p AS (SELECT doc_id, any_value(k) FILTER (WHERE kind = 1) AS a, any_value(k) FILTER (WHERE kind = 2) AS b, any_value(k) FILTER (WHERE kind = 3) AS c FROM h GROUP BY doc_id)
+SELECT doc_id, n_chars, sha256(edited) AS edited_sha256, coalesce(array_to_string(a, ''), '') AS fingerprint, coalesce(array_to_string(b, ''), '') AS edited_fingerprint,
+  CASE WHEN len(a) = 0 THEN CASE WHEN len(b) = 0 THEN 1.0::DOUBLE ELSE 0.0::DOUBLE END ELSE len(list_intersect(a, b))::DOUBLE / len(a) END AS near_edited,
+  CASE WHEN len(a) = 0 THEN CASE WHEN len(c) = 0 THEN 1.0::DOUBLE ELSE 0.0::DOUBLE END ELSE len(list_intersect(a, c))::DOUBLE / len(a) END AS near_next
+FROM e JOIN p USING (doc_id)"""
+
+
+def op12_ranked_lexical_search(spark, d):
+    return lexical.rank_documents(_table(spark, d, "documents").select("doc_id", "text"), _table(spark, d, "benchmark"))
+
+
+SQL["op12_ranked_lexical_search"] = r"""
+WITH t AS (SELECT doc_id, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+             '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term FROM documents),
+q AS (SELECT DISTINCT item_id, term FROM (SELECT item_id, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+             '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term FROM benchmark)),
+l AS (SELECT doc_id, count(*) AS n FROM t GROUP BY doc_id),
+s AS (SELECT count(*) AS docs, CAST(sum(n) AS BIGINT) AS terms FROM l),
+f AS (SELECT doc_id, term, count(*) AS tf FROM t WHERE term IN (SELECT term FROM q) GROUP BY doc_id, term),
+w AS (SELECT term, CAST(floor(1000 * ln((2 * docs + 2)::DOUBLE / (2 * df + 1)::DOUBLE)) AS BIGINT) AS w FROM (SELECT term, count(*) AS df FROM f GROUP BY term), s),
+i AS (SELECT f.doc_id, f.term, w.w * ((1000000000 * tf) // (1000 * tf + 20 * (50 + (50 * n * docs) // terms))) AS impact FROM f JOIN l USING (doc_id) JOIN w USING (term), s),
+r AS (SELECT item_id, doc_id, CAST(sum(impact) AS BIGINT) AS score FROM q JOIN i USING (term) GROUP BY item_id, doc_id HAVING sum(impact) > 0),
+k AS (SELECT *, CAST(row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS INTEGER) AS rank FROM r)
+SELECT item_id, rank, doc_id, score FROM k WHERE rank <= 50"""
+
+
+def op13_embedding_whitening(spark, d):
+    done = whitening.whiten(_table(spark, d, "embeddings"))
+    return done.withColumn("deviation", F.expr("try_cast(deviation AS bigint)"))
+
+
 SQL["op7_warc"] = """
 WITH p AS (SELECT page_id, coalesce(html, '') AS html, strlen(coalesce(html, '')) AS payload_bytes, sha1(coalesce(html, '')) AS payload_digest FROM pages),
 m AS (SELECT payload_digest, max(page_id) AS keeper FROM p WHERE payload_bytes >= 1000 GROUP BY payload_digest HAVING count(*) > 1)
@@ -167,4 +212,7 @@ QUERIES = {
     "op3_best_fit_packing": op3_best_fit_packing,
     "op4_decontamination": op4_decontamination,
     "op5_line_dedup": op5_line_dedup,
+    "op11_document_fingerprints": op11_document_fingerprints,
+    "op12_ranked_lexical_search": op12_ranked_lexical_search,
+    "op13_embedding_whitening": op13_embedding_whitening,
 }

@@ -149,13 +149,13 @@ def small_batches(batches, rows: int = 500) -> Iterator[pa.RecordBatch]:
         release()
 
 
-def word_spans(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Start, end and text index of every word of a block."""
+def word_spans(data: np.ndarray, offsets: np.ndarray, between: np.ndarray = SPACE) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Start, end and text index of every word of a block; ``between`` marks the bytes of no word."""
     n = len(data)
     if n == 0:
         z = np.zeros(0, np.int64)
         return z, z, z
-    inside = ~SPACE[data]
+    inside = ~between[data]
     first = inside.copy()
     first[1:] &= ~inside[:-1]
     last = inside.copy()
