@@ -49,7 +49,7 @@ def shingles(text: Column, n: int = N) -> Column:
     none = F.array().cast("array<string>")
 
     def of(words):
-        runs = F.transform(F.sequence(F.lit(0), F.size(words) - n), lambda i: F.concat_ws(" ", F.slice(words, i + 1, n)))
+        runs = F.transform(F.sequence(F.lit(0), F.size(words) - n), lambda i: F.concat_ws(" ", *[F.get(words, i + j) for j in range(n)]))
         return F.when(words[0] == "", none).when(F.size(words) < n, F.array(F.concat_ws(" ", words))).otherwise(runs)
 
     return _let(F.split(F.btrim(F.coalesce(text, F.lit("")), F.lit(SPACES)), r"[\x20\x09-\x0D]+"), of)

@@ -81,10 +81,10 @@ def test_no_python_in_the_plan(spark):
 
 def test_fingerprints_merge_and_round_trip(spark):
     a, b = (" ".join(f"w{i}" for i in range(lo, lo + 400)) for lo in (0, 200))
-    row = spark.createDataFrame([(a, b)], "a string, b string").select(
-        fp.sketch(F.col("a")).alias("a"), fp.sketch(F.col("b")).alias("b"), fp.merged(fp.sketch(F.col("a")), fp.sketch(F.col("b"))).alias("ab"),
-        fp.from_string(fp.to_string(fp.sketch(F.col("a")))).alias("back"), fp.from_string(F.lit("")).alias("none"),
-        fp.jaccard(fp.sketch(F.col("a")), fp.sketch(F.col("b"))).alias("j"), fp.sketch(F.col("a"), fraction=1.0).alias("all")).first()
+    row = spark.createDataFrame([(a, b)], "x string, y string").select(
+        fp.sketch(F.col("x")).alias("a"), fp.sketch(F.col("y")).alias("b"), fp.merged(fp.sketch(F.col("x")), fp.sketch(F.col("y"))).alias("ab"),
+        fp.from_string(fp.to_string(fp.sketch(F.col("x")))).alias("back"), fp.from_string(F.lit("")).alias("none"),
+        fp.jaccard(fp.sketch(F.col("x")), fp.sketch(F.col("y"))).alias("j"), fp.sketch(F.col("x"), fraction=1.0).alias("all")).first()
     assert row.ab == sorted(set(row.a) | set(row.b)) and row.back == row.a and row.none == []
     assert row.j == len(set(row.a) & set(row.b)) / len(row.ab)
     assert row["all"] == brute_sketch(a, 1.0)
