@@ -77,6 +77,15 @@ def from_string(fingerprint: Column) -> Column:
     return F.when(F.coalesce(fingerprint, F.lit("")) == "", F.array().cast("array<string>")).otherwise(each)
 
 
+def packed(hashes: Column) -> Column:
+    """The sketch in 6 bytes a hash, for shuffles."""
+    return F.unhex(to_string(hashes))
+
+
+def unpacked(raw: Column) -> Column:
+    return _let(F.lower(F.hex(raw)), from_string)
+
+
 def merged(a: Column, b: Column) -> Column:
     """The sketch of both texts together."""
     return F.array_sort(F.array_union(a, b))
@@ -129,13 +138,14 @@ def fingerprint_edits(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
     follows = placed.select(F.col("key").alias("next"), F.pmod(F.col("at") - 1, F.lit(max(count, 1))).alias("before_at"))
     asked = (placed.select("at", F.col("key").alias("before"), F.expr("int(n div 3)").alias("ask")).join(follows, F.col("at") == F.col("before_at"))
              .select(F.col("next").alias("key"), "before", "ask"))
-    about = asked.join(placed.select("key", "copies"), "key")
-    # the narrow side is the hashed one: texts stream through without a sort
-    whole = rows.join(about.hint("shuffle_hash"), "key")
+    about = asked.join(placed.select("key", "doc_id", "copies"), "key")
+    # the narrow side is the hashed one: texts stream through without a sort.  Both uses of ``whole``
+    # read the same columns of ``rows``, so its texts are shuffled once
+    whole = rows.select("key", "text").join(about.hint("shuffle_hash"), "key")
     if not placed.where("copies > 1").isEmpty():
         whole = whole.where("copies = 1").unionByName(whole.where("copies > 1").dropDuplicates(["key"]))
     mark = lambda t: sketch(t, n, fraction)
-    given = whole.select(F.col("before").alias("key"), F.expr("substring(text, 1, ask)").alias("given"), mark(F.col("text")).alias("next_sketch"))
+    given = whole.select(F.col("before").alias("key"), F.expr("substring(text, 1, ask)").alias("given"), packed(mark(F.col("text"))).alias("next_sketch"))
     own = whole.select("key", "doc_id", "copies", "text").join(given, "key").withColumn("n_chars", F.length("text"))
     edit = lambda tail: F.concat(F.expr("substring(text, 1, n_chars - int(n_chars div 3))"), tail)
     # a copy that isn't the last is followed by itself
@@ -150,6 +160,6 @@ def fingerprint_edits(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
     each = done.select("*", F.explode("each").alias("k")).select(
         "doc_id", "n_chars", "sketch", F.when(last, F.col("sha")).otherwise(F.col("copy_sha")).alias("edited_sha256"),
         F.when(last, F.col("edited_sketch")).otherwise(F.col("copy_sketch")).alias("e"),
-        F.when(last, F.col("next_sketch")).otherwise(F.col("sketch")).alias("x"))
+        F.when(last, unpacked(F.col("next_sketch"))).otherwise(F.col("sketch")).alias("x"))
     return each.select("doc_id", "n_chars", "edited_sha256", to_string(F.col("sketch")).alias("fingerprint"), to_string(F.col("e")).alias("edited_fingerprint"),
                        containment(F.col("sketch"), F.col("e")).alias("near_edited"), containment(F.col("sketch"), F.col("x")).alias("near_next"))
