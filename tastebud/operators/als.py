@@ -13,21 +13,27 @@ Training is MLlib's blocked ALS.  Around it:
 
 from __future__ import annotations
 
+import math
+import sys
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
 import numpy as np
+from pyspark import cloudpickle
 from pyspark.ml.recommendation import ALS, ALSModel
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.vectors import dot
 from ..session import ensure_checkpoint_dir
+from ..sources import store
 from . import relational as rel
 from .blocks import block_top_k
 from .encode import index_ids
 from .split import hash_split3, random_split
 
+cloudpickle.register_pickle_by_value(sys.modules[__name__])  # executors need numpy and pyarrow only
+
 INT_MIN, INT_MAX = -(2 ** 31), 2 ** 31 - 1
 
 
@@ -155,23 +161,22 @@ def recommend_for_items(fit: AlsFit, items: DataFrame, n: int = 10) -> DataFrame
 # ---------------------------------------------------------------- saved fits
 
 def save_fit(fit: AlsFit, path: str) -> None:
-    """Write model and id maps below ``path``."""
-    root = path.rstrip("/")
-    fit.model.write().overwrite().save(f"{root}/model")
-    spark = fit.model.userFactors.sparkSession
-    maps = {"user_map": fit.user_map, "item_map": fit.item_map}
-    for name, df in maps.items():
-        if df is not None:
-            df.write.mode("overwrite").parquet(f"{root}/{name}")
-    spark.createDataFrame([(n, df is not None) for n, df in maps.items()], "name string, present boolean").coalesce(1).write.mode("overwrite").parquet(f"{root}/about")
+    """Write model and id maps as a new version below ``path``."""
+    maps = {n: df for n, df in (("user_map", fit.user_map), ("item_map", fit.item_map)) if df is not None}
+
+    def write(folder: str) -> None:
+        fit.model.write().save(f"{folder}/model")
+        for name, df in maps.items():
+            df.write.parquet(f"{folder}/{name}")
+
+    store.save(fit.model.userFactors.sparkSession, path, write, {"maps": sorted(maps)})
 
 
 def load_fit(spark, path: str) -> AlsFit:
-    """The fit written by ``save_fit``."""
-    root = path.rstrip("/")
-    have = {r["name"]: r["present"] for r in spark.read.parquet(f"{root}/about").collect()}
-    maps = {n: spark.read.parquet(f"{root}/{n}") if there else None for n, there in have.items()}
-    return AlsFit(ALSModel.load(f"{root}/model"), maps["user_map"], maps["item_map"])
+    """The fit last saved to ``path``."""
+    folder, about = store.load(spark, path)
+    maps = {n: spark.read.parquet(f"{folder}/{n}") if n in about["maps"] else None for n in ("user_map", "item_map")}
+    return AlsFit(ALSModel.load(f"{folder}/model"), maps["user_map"], maps["item_map"])
 
 
 # ---------------------------------------------------------------- tuning (2.10-3/4)
@@ -249,6 +254,74 @@ def fold_in_user(item_factors: DataFrame, liked: DataFrame, rating: float, reg:
     return [float(v) for v in x]
 
 
+def fold_in_users(item_factors: DataFrame, liked: DataFrame, reg: float) -> DataFrame:
+    """Factors of many new users at once, item factors (``id, vec``) held fixed: ``user, vec, n``.
+
+    ``liked`` is ``user, item, rating``.  Each user's normal equations ``(Y'Y + reg n I) x = Y' r`` are
+    summed in the tasks that read the joined rows, then per user (so one with a third of all rows
+    sends a few partial sums), and solved in batches by Cholesky factors.  Users none of whose items
+    has a factor get no row.  rank * (rank + 1) / 2 numbers move for each user and task.
+    """
+    from pyspark.ml.functions import array_to_vector, vector_to_array
+    from pyspark.ml.stat import Summarizer
+    rows = liked.select("user", "item", F.col("rating").cast("double").alias("rating")).join(
+        item_factors.select(F.col("id").alias("item"), F.col("vec").cast("array<double>").alias("vec")), "item").select("user", "rating", "vec")
+    kind = dict(rows.dtypes)["user"]
+    sums = rows.mapInArrow(_normal_sums, f"user {kind}, s array<double>")
+    total = sums.groupBy("user").agg(vector_to_array(Summarizer.sum(array_to_vector("s"))).alias("s"))
+    return total.mapInArrow(lambda it: _solve(it, reg), f"user {kind}, vec array<double>, n long")
+
+
+def _normal_sums(batches):
+    """Per user of a slice of rows: upper triangle of Y'Y, Y'r and the number of rows."""
+    import pyarrow as pa
+    for batch in batches:
+        for a in range(0, batch.num_rows, 1000):
+            part = batch.slice(a, 1000)
+            users = part.column(0).dictionary_encode()
+            at, r = users.indices.to_numpy(zero_copy_only=False), part.column(1).to_numpy(zero_copy_only=False)
+            y = np.asarray(part.column(2).flatten()).reshape(len(part), -1)
+            i, j = np.triu_indices(y.shape[1])
+            by = np.argsort(at, kind="stable")
+            first = np.flatnonzero(np.append(True, at[by][1:] != at[by][:-1]))
+            all_ = np.column_stack([y[:, i] * y[:, j], y * r[:, None], np.ones(len(y))])[by]
+            out = np.add.reduceat(all_, first, axis=0)
+            cuts = pa.array(np.arange(len(out) + 1, dtype=np.int32) * out.shape[1])
+            yield pa.RecordBatch.from_arrays([users.dictionary.take(pa.array(at[by][first])), pa.ListArray.from_arrays(cuts, pa.array(out.ravel()))], names=["user", "s"])
+
+
+def _solve(batches, reg: float):
+    """Solutions of the summed normal equations."""
+    import pyarrow as pa
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        s = np.asarray(batch.column(1).flatten()).reshape(batch.num_rows, -1)
+        k = int((math.isqrt(9 + 8 * (s.shape[1] - 1)) - 3) // 2)  # k (k + 1) / 2 + k + 1 numbers
+        i, j = np.triu_indices(k)
+        n = s[:, -1]
+        a = np.zeros((len(s), k, k))
+        a[:, i, j] = a[:, j, i] = s[:, : len(i)]
+        a += reg * n[:, None, None] * np.eye(k)
+        low = np.linalg.cholesky(a)
+        x = np.linalg.solve(low.transpose(0, 2, 1), np.linalg.solve(low, s[:, len(i):-1, None]))[..., 0]
+        cuts = pa.array(np.arange(len(x) + 1, dtype=np.int32) * k)
+        yield pa.RecordBatch.from_arrays([batch.column(0), pa.ListArray.from_arrays(cuts, pa.array(np.ascontiguousarray(x).ravel())), pa.array(n.astype(np.int64))], names=["user", "vec", "n"])
+
+
+def recommend_for_requests(fit: AlsFit, requests: DataFrame, items: DataFrame, n: int = 10, rating: float = 5.0, reg: float = 0.05) -> DataFrame:
+    """Top ``n`` unseen catalogue items of many pseudo-users in one job: ``request, item, prediction,
+    rank, title, genres``.  ``requests`` is ``request, item`` (and ``rating``, else the given one)."""
+    given = F.col("rating") if "rating" in requests.columns else F.lit(rating)
+    liked = requests.select(F.col("request").alias("user"), "item", given.alias("rating")).dropDuplicates(["user", "item"])
+    _, itf = als_factors(fit)
+    new = fold_in_users(itf, liked, reg).select(F.col("user").alias("id"), "vec")
+    seen = liked.select("user", "item")
+    top = block_top_k(new, itf.join(items.select(F.col("item").alias("id")), "id", "left_semi"), n, left_key="id", right_key="id", exclude=seen,
+                      out_left="request", out_right="item", score_col="prediction")
+    return rel.enrich_with_items(top, items)
+
+
 def fit_pseudo_user(ratings: DataFrame, liked: DataFrame, rating: float = 5.0, rank: int = 20,
                     reg: float = 0.05, iters: int = 10, seed: int = 42) -> tuple[AlsFit, Column]:
     """Refit ALS on all ratings plus a new user (``max(user) + 1``) who gave ``rating``

@@ -308,3 +308,149 @@ def block_auc(left: DataFrame, right: DataFrame, positives: DataFrame, *, left_k
            .select(F.col("lk").alias(left_key),
                    (F.col("wins") / (F.col("_p") * F.col("_n"))).alias("auc")))
     return out
+
+
+# ---------------------------------------------------------------- several models and metrics in one pass
+
+def _metrics_kernel(k: int, dims: list[int], exclude: list[bool], decimals: int | None, out_schema: T.StructType):
+    """Per block pair and model: win counts of the left rows' positives, and the best ``k`` right
+    rows of each user's first row."""
+    names = out_schema.names
+    cuts = np.concatenate([[0], np.cumsum(dims)])
+
+    def kernel(lpdf: pd.DataFrame, rpdf: pd.DataFrame) -> pd.DataFrame:
+        kinds = rpdf["ex"].to_numpy()
+        items = rpdf[kinds == 0]
+        if not len(items) or not len(lpdf):
+            return pd.DataFrame({n: [] for n in names})
+        lpdf = lpdf.reset_index(drop=True)
+        rkeys, right, rhave = items["rk"].to_numpy(), _stack(items["vec"]), items["have"].to_numpy()
+        out_pairs = rpdf[kinds > 0][["xl", "rk", "ex"]]
+        rpos = pd.DataFrame({"rk": rkeys, "ri": np.arange(len(rkeys))})
+        lpos = pd.DataFrame({"xl": lpdf["lk"].to_numpy(), "li": np.arange(len(lpdf))})
+        hit = out_pairs.merge(lpos, on="xl").merge(rpos, on="rk").sort_values("li")
+        li, ri, ex = (hit[c].to_numpy() for c in ("li", "ri", "ex"))
+        done = []
+        for start in range(0, len(lpdf), SLICE_ROWS):
+            part = lpdf.iloc[start:start + SLICE_ROWS]
+            lkeys, left, lhave, head = part["lk"].to_numpy(), _stack(part["vec"]), part["have"].to_numpy(), part["head"].to_numpy(dtype=bool)
+            positives = [np.array([[np.nan if x is None else x for x in p] for p in ps], np.float64) for ps in part["pos"]]
+            a, b = np.searchsorted(li, [start, start + len(part)])
+            row, col, kind = li[a:b] - start, ri[a:b], ex[a:b]
+            _, first, which = np.unique(lkeys, return_index=True, return_inverse=True)
+            for m, leave_out in enumerate(exclude):
+                r = left[:, cuts[m]:cuts[m + 1]] @ right[:, cuts[m]:cuts[m + 1]].T
+                if not np.isfinite(r).all():
+                    raise ValueError("scores are not finite: the factors have diverged")
+                s = np.round(r, decimals) if decimals is not None else r
+                has = (rhave >> m) & 1 == 1
+                own = (lhave >> m) & 1 == 1
+                # negatives of the AUC: neither positives nor, where asked, train pairs
+                valid = np.repeat(has[None, :], len(part), axis=0)
+                no = (kind & (3 if leave_out else 1)) > 0
+                valid[row[no], col[no]] = False
+                negatives = np.sort(np.where(valid[first], s[first], np.inf), axis=1)
+                count = valid[first].sum(axis=1)
+                wins = np.zeros(len(part))
+                for x in np.flatnonzero(own):
+                    pos = positives[x][:, m]
+                    pos = pos[~np.isnan(pos)]
+                    pos = np.round(pos, decimals) if decimals is not None else pos
+                    neg = negatives[which[x], :count[which[x]]]
+                    lo, hi = np.searchsorted(neg, pos, side="left"), np.searchsorted(neg, pos, side="right")
+                    wins[x] = float(np.sum(lo) + 0.5 * np.sum(hi - lo))
+                done.append(pd.DataFrame({names[0]: 0, names[1]: m, names[2]: lkeys[own], names[3]: rkeys[:1].repeat(int(own.sum())), names[4]: wins[own]}))
+                # the ranking: all but, where asked, train pairs
+                top = np.flatnonzero(own & head)
+                if not len(top):
+                    continue
+                ranked = np.where(has[None, :], s[top], -np.inf)
+                if leave_out:
+                    place = np.full(len(part), -1)
+                    place[top] = np.arange(len(top))
+                    no = ((kind & 2) > 0) & (place[row] >= 0)
+                    ranked[place[row[no]], col[no]] = -np.inf
+                keep = ranked > -np.inf
+                if ranked.shape[1] > k:
+                    keep &= ranked >= -np.partition(-ranked, k - 1, axis=1)[:, k - 1][:, None]
+                y, x = np.nonzero(keep)
+                cand = pd.DataFrame({"row": y, "s": ranked[y, x], "rk": rkeys[x]}).sort_values(["row", "s", "rk"], ascending=[True, False, True], kind="mergesort")
+                cand = cand.groupby("row", sort=False).head(k)
+                done.append(pd.DataFrame({names[0]: 1, names[1]: m, names[2]: lkeys[top[cand["row"].to_numpy()]], names[3]: cand["rk"].to_numpy(), names[4]: cand["s"].to_numpy()}))
+        return pd.concat(done, ignore_index=True)
+
+    return kernel
+
+
+def stacked_factors(tables: list[DataFrame], dims: list[int], key: str) -> DataFrame:
+    """``key, vec, have``: the models' vectors end to end (zeros where a model hasn't the id; bit m of
+    ``have`` says that model m has it)."""
+    rows = None
+    for m, t in enumerate(tables):
+        one = t.select(F.col("id").alias(key), F.lit(m).alias("m"), F.col("vec").cast("array<double>").alias("vec"))
+        rows = one if rows is None else rows.unionByName(one)
+    own = lambda m: F.first(F.when(F.col("m") == m, F.col("vec")), ignorenulls=True).alias(f"v{m}")
+    wide = rows.groupBy(key).agg(*[own(m) for m in range(len(tables))])
+    have = sum((F.when(F.col(f"v{m}").isNotNull(), 1 << m).otherwise(0) for m in range(len(tables))), F.lit(0))
+    vec = F.concat(*[F.coalesce(f"v{m}", F.array_repeat(F.lit(0.0), d)) for m, d in enumerate(dims)])
+    return wide.select(key, vec.alias("vec"), have.cast("int").alias("have"))
+
+
+def block_metrics(left: DataFrame, right: DataFrame, dims: list[int], exclude: list[bool], positives: DataFrame, k: int,
+                  train: DataFrame | None = None, decimals: int | None = None, block_rows: int = DEFAULT_BLOCK_ROWS,
+                  chunk: int = 1024, chunks_per_part: int = 8) -> tuple[DataFrame, DataFrame]:
+    """AUC and top ``k`` of several models from one all-pairs pass.
+
+    ``left`` / ``right`` are ``stacked_factors`` keyed ``lk`` / ``rk``; ``exclude[m]`` takes ``train``
+    pairs out of model m's ranking and negatives.  Returns ``lk, m, auc`` (users with positives and
+    negatives) and ``lk, m, rk`` (the top k of the users with a scored positive).  The layout is that of
+    ``block_auc``: positives travel in chunks, so a hot user is spread over many blocks.
+    """
+    from ..functions.vectors import dot
+    cuts = [0]
+    for d in dims:
+        cuts.append(cuts[-1] + d)
+    models = range(len(dims))
+    pos_pairs = _pair_cols(positives).distinct()
+    lk_type, rk_type = left.schema["lk"].dataType, right.schema["rk"].dataType
+    both = F.col("lh").bitwiseAND(F.col("rh"))
+    score = lambda m: F.when(both.bitwiseAND(F.lit(1 << m)) > 0, dot(F.slice("lv", cuts[m] + 1, dims[m]), F.slice("rv", cuts[m] + 1, dims[m])))
+    scored = (pos_pairs.join(left.select("lk", F.col("vec").alias("lv"), F.col("have").alias("lh")), "lk")
+              .join(right.select("rk", F.col("vec").alias("rv"), F.col("have").alias("rh")), "rk")
+              .select("lk", "rk", F.array(*[score(m) for m in models]).alias("ps")))
+    per_user = scored.groupBy("lk").agg(F.count(F.lit(1)).alias("_p"), *[F.count(F.col("ps")[m]).alias(f"_p{m}") for m in models])
+    chunks = (scored.join(per_user.select("lk", "_p"), "lk").withColumn("_c", F.pmod(F.xxhash64("rk"), F.ceil(F.col("_p") / chunk)))
+              .groupBy("lk", "_c").agg(F.collect_list("ps").alias("pos")))
+    heads = chunks.groupBy("lk").agg(F.min("_c").alias("_first"))
+    luse = cut_lineage(chunks.join(heads, "lk").join(left, "lk").select(
+        "lk", "vec", "have", "pos", (F.col("_c") == F.col("_first")).alias("head"), F.floor(F.col("_c") / chunks_per_part).cast("int").alias("part")))
+    parts = luse.groupBy("lk").agg(F.max("part").alias("_last"))
+    excl = pos_pairs.withColumn("ex", F.lit(1))
+    if train is not None and any(exclude):
+        excl = excl.unionByName(_pair_cols(train).distinct().withColumn("ex", F.lit(2)))
+    excl = excl.groupBy("lk", "rk").agg(F.sum("ex").cast("int").alias("ex")).join(parts, "lk")  # of scored users only
+    n_right = right.agg(F.count(F.lit(1)).alias("all"), *[F.sum(F.col("have").bitwiseAND(F.lit(1 << m)) / (1 << m)).alias(f"n{m}") for m in models]).first()
+    a, b = _layout(luse, right, block_rows, luse.count(), n_right["all"])
+    own = F.pmod(F.xxhash64("lk", "part"), F.lit(a)).cast("int")
+    lrep = (luse.withColumn("lb", own).withColumn("rb", F.explode(F.sequence(F.lit(0), F.lit(b - 1))))
+            .select("lb", "rb", "lk", "vec", "have", "pos", "head"))
+    placeholder = F.lit("").cast(lk_type) if isinstance(lk_type, T.StringType) else F.lit(0).cast(lk_type)
+    rrep = _replicate(right, "rb", b, "lb", a, "rk").select("lb", "rb", "rk", "vec", "have", F.lit(0).alias("ex"), placeholder.alias("xl"))
+    routed = (excl.withColumn("part", F.explode(F.sequence(F.lit(0), F.col("_last")))).withColumn("lb", own)
+              .select("lb", _block("rk", b).alias("rb"), F.col("rk").cast(rk_type).alias("rk"), F.lit(None).cast("array<double>").alias("vec"),
+                      F.lit(0).alias("have"), "ex", F.col("lk").cast(lk_type).alias("xl")))
+    schema = T.StructType([T.StructField("kind", T.IntegerType()), T.StructField("m", T.IntegerType()), T.StructField("lk", lk_type),
+                           T.StructField("rk", rk_type), T.StructField("value", T.DoubleType())])
+    local = cut_lineage(lrep.groupBy("lb", "rb").cogroup(rrep.unionByName(routed).groupBy("lb", "rb"))
+                        .applyInPandas(_metrics_kernel(k, dims, exclude, decimals, schema), schema))
+    ordered = F.round("value", decimals) if decimals is not None else F.col("value")
+    w = Window.partitionBy("lk", "m").orderBy(ordered.desc(), F.col("rk").asc())
+    top = (local.where(F.col("kind") == 1).withColumn("_r", F.row_number().over(w)).where(F.col("_r") <= k).select("lk", "m", "rk"))
+    wins = local.where(F.col("kind") == 0).groupBy("lk", "m").agg(F.sum("value").alias("wins"))
+    left_out = lambda m: F.sum(((F.col("have").bitwiseAND(F.lit(1 << m)) > 0) & (F.col("ex").bitwiseAND(F.lit(3 if exclude[m] else 1)) > 0)).cast("long"))
+    gone = excl.join(right.select("rk", "have"), "rk").groupBy("lk").agg(*[left_out(m).alias(f"_x{m}") for m in models])
+    pick = lambda prefix: F.element_at(F.array(*[F.col(f"{prefix}{m}") for m in models]), F.col("m") + 1)
+    n_of = F.element_at(F.array(*[F.lit(int(n_right[f"n{m}"] or 0)) for m in models]), F.col("m") + 1)
+    auc = (wins.join(per_user, "lk").join(gone, "lk").withColumn("_np", pick("_p")).withColumn("_nn", n_of - pick("_x"))
+           .where((F.col("_np") > 0) & (F.col("_nn") > 0)).select("lk", "m", (F.col("wins") / (F.col("_np") * F.col("_nn"))).alias("auc")))
+    return auc, top

@@ -129,7 +129,25 @@ def q_report_fixed(spark, d):
     return out.select(_r("precision").alias("precision"), _r("recall").alias("recall"), _r("auc").alias("auc"))
 
 
+def q_als_fold_in_table(spark, d):
+    """Every user who rated items with a vector is folded in at once; ``solved`` recomputes the
+    residual of each user's normal equations from its rows."""
+    from ..operators import als
+    from ..functions.vectors import dot
+    _, items = fixed_model(spark, d)
+    reg = 0.05
+    liked = cut_lineage(tables.ratings(spark, d).join(items.select(F.col("id").alias("item")), "item", "left_semi").select("user", "item", "rating"))
+    found = cut_lineage(als.fold_in_users(items, liked, reg))
+    rows = (liked.join(found.withColumnRenamed("vec", "x"), "user").join(items.select(F.col("id").alias("item"), "vec"), "item")
+            .withColumn("off", dot("x", "vec") - F.col("rating") ))
+    residual = sim.vector_sum(rows.select("user", F.transform("vec", lambda v: v * F.col("off")).alias("vec")), "user", "vec")
+    joined = residual.withColumnRenamed("vec", "r").join(found, "user")
+    worst = F.array_max(F.zip_with("r", F.transform("vec", lambda x: x * reg * F.col("n")), lambda a, b: F.abs(a + b)))
+    return joined.select("user", F.col("n").alias("n_liked"), (worst < 1e-8).alias("solved"))
+
+
 QUERIES = {
+    "als_fold_in_table": q_als_fold_in_table,
     "item_similarity_top10": q_item_similarity_top10,
     "similar_items": q_similar_items,
     "recommend_unseen_fixed": q_recommend_unseen_fixed,
@@ -167,6 +185,8 @@ def _topk_sql(src: str, key: str, other: str, k: int, extra: str = "") -> str:
 
 
 SQL = {
+    "als_fold_in_table": f"""WITH {I_CTE} SELECT "user", count(*) AS n_liked, true AS solved FROM I
+WHERE item IN (SELECT vec_id FROM embeddings) GROUP BY "user" """,
     "report_fixed": f"""WITH {I_CTE}, {E_CTE}, {ROLES_CTE}, {PAIRS_CTE},
 c AS (SELECT * FROM scores s WHERE NOT EXISTS (SELECT 1 FROM train t WHERE t."user" = s."user" AND t.item = s.item)),
 top AS (SELECT "user", item FROM (SELECT *, row_number() OVER (PARTITION BY "user" ORDER BY round(score, 6) DESC, item) AS r FROM c) WHERE r <= {TOP_K}),
