@@ -299,7 +299,7 @@ def _solve(batches, reg: float):
         s = np.asarray(batch.column(1).flatten()).reshape(batch.num_rows, -1)
         k = int((math.isqrt(9 + 8 * (s.shape[1] - 1)) - 3) // 2)  # k (k + 1) / 2 + k + 1 numbers
         i, j = np.triu_indices(k)
-        n = s[:, -1]
+        n = np.rint(s[:, -1])  # the summarizer's sums are means times counts
         a = np.zeros((len(s), k, k))
         a[:, i, j] = a[:, j, i] = s[:, : len(i)]
         a += reg * n[:, None, None] * np.eye(k)

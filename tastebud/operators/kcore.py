@@ -49,7 +49,7 @@ def peel(u: np.ndarray, i: np.ndarray, user_min: int, item_min: int) -> np.ndarr
     while len(front[0]) or len(front[1]):
         for side in (0, 1):
             f, front[side] = front[side], np.zeros(0, np.int64)
-            f = f[~gone[side][f]]
+            f = np.unique(f[~gone[side][f]])  # an id may have been found low from the start and again
             if not len(f):
                 continue
             gone[side][f] = True

@@ -121,3 +121,13 @@ def test_peel_of_a_long_chain_and_a_block():
     u = np.concatenate([np.arange(n) // 2 + np.arange(n) % 2, np.repeat(np.arange(5), 5) + n])
     i = np.concatenate([np.arange(n) // 2, np.tile(np.arange(5), 5) + n])
     assert np.flatnonzero(kcore.peel(u, i, 2, 2)).tolist() == list(range(n, n + 25))
+
+
+def test_peel_against_brute_force():
+    rng = np.random.default_rng(9)
+    for _ in range(300):
+        pairs = sorted({(int(a), int(b)) for a, b in zip(rng.integers(0, 30, 150), rng.integers(0, 25, 150))})
+        u, i = (np.unique(np.array(c), return_inverse=True)[1] for c in zip(*pairs))
+        least = int(rng.integers(1, 7)), int(rng.integers(1, 7))
+        keep = kcore.peel(u, i, *least)
+        assert {p for p, k in zip(pairs, keep) if k} == _brute_kcore(set(pairs), *least)
