@@ -169,27 +169,31 @@ def _sliced(one_slice, names):
     return kernel
 
 
+def _local_best(lkeys, rkeys, s, valid, k: int, decimals: int | None, names) -> pd.DataFrame:
+    """The best ``k`` valid right rows of each left row by (score desc, key asc)."""
+    r = np.round(s, decimals) if decimals is not None else s.copy()
+    r[~valid] = -np.inf
+    if r.shape[1] > k:
+        # k-th best rounded score per row; keep everything at least that good
+        # (ties included), then order exactly by (score desc, key asc).
+        kth = -np.partition(-r, k - 1, axis=1)[:, k - 1]
+        keep = (r >= kth[:, None]) & valid
+    else:
+        keep = valid
+    rows, cols = np.nonzero(keep)
+    cand = pd.DataFrame({"row": rows, "r": r[rows, cols], "rk": rkeys[cols], "s": s[rows, cols]})
+    cand = cand.sort_values(["row", "r", "rk"], ascending=[True, False, True], kind="mergesort")
+    cand = cand.groupby("row", sort=False).head(k)
+    return pd.DataFrame({names[0]: lkeys[cand["row"].to_numpy()], names[1]: cand["rk"].to_numpy(),
+                         names[2]: cand["s"].to_numpy()})
+
+
 def _topk_kernel(k: int, decimals: int | None, exclude_self: bool, out_schema: T.StructType):
     names = out_schema.names
 
     def one_slice(lpdf: pd.DataFrame, start: int, right):
         _, lkeys, rkeys, s, valid = _masked_scores(lpdf, start, right, exclude_self)
-        r = np.round(s, decimals) if decimals is not None else s.copy()
-        r[~valid] = -np.inf
-        n_r = r.shape[1]
-        if n_r > k:
-            # k-th best rounded score per row; keep everything at least that good
-            # (ties included), then order exactly by (score desc, key asc).
-            kth = -np.partition(-r, k - 1, axis=1)[:, k - 1]
-            keep = (r >= kth[:, None]) & valid
-        else:
-            keep = valid
-        rows, cols = np.nonzero(keep)
-        cand = pd.DataFrame({"row": rows, "r": r[rows, cols], "rk": rkeys[cols], "s": s[rows, cols]})
-        cand = cand.sort_values(["row", "r", "rk"], ascending=[True, False, True], kind="mergesort")
-        cand = cand.groupby("row", sort=False).head(k)
-        return pd.DataFrame({names[0]: lkeys[cand["row"].to_numpy()], names[1]: cand["rk"].to_numpy(),
-                             names[2]: cand["s"].to_numpy()})
+        return _local_best(lkeys, rkeys, s, valid, k, decimals, names)
 
     return _sliced(one_slice, names)
 

@@ -81,16 +81,30 @@ def encode_features(side: DataFrame, item_map: DataFrame | None = None, key: str
 
 def features_to_vector(df: DataFrame, n_features: int, key: str = "item",
                        idx: str = "feature_idx", weight: str = "weight") -> DataFrame:
-    """One MLlib SparseVector per entity, for export to MLlib estimators only."""
-    from pyspark.ml.linalg import SparseVector, VectorUDT
+    """``key, features``: one MLlib sparse vector per entity, for MLlib estimators, built in the JVM.
 
-    @F.udf(VectorUDT())
-    def to_sparse(indices, values):
-        pairs = sorted(zip(indices, values))
-        return SparseVector(n_features, [p[0] for p in pairs], [p[1] for p in pairs])
-
-    grouped = df.groupBy(key).agg(F.collect_list(idx).alias("_i"), F.collect_list(weight).alias("_w"))
-    return grouped.select(key, to_sparse("_i", "_w").alias("features"))
+    Weights of repeated (entity, index) rows add up, as in a COO matrix, and sums of 0 stay stored;
+    rows with a null index or weight don't count, an entity with no others has an empty vector.  An
+    index outside 0..n_features-1 is an error, as is a weight that isn't finite.  The vector is read from its fields with
+    ``from_json`` under MLlib's own type (doubles are written with all their digits), so no Python runs.
+    """
+    from pyspark.ml.linalg import VectorUDT
+    from pyspark.sql import types as T
+
+    i, w = F.col(idx).cast("long"), F.col(weight).cast("double")
+    finite = ~F.isnan(w) & (F.abs(w) < float("inf"))
+    checked = F.when((i >= 0) & (i < n_features) & finite, i.cast("int")).otherwise(F.raise_error(F.concat(
+        F.lit(f"feature index outside 0..{n_features - 1} or weight not finite: "), i.cast("string"), F.lit(", "), w.cast("string"))).cast("int"))
+    known = i.isNotNull() & w.isNotNull()
+    cells = (df.select(F.col(key), F.when(known, checked).alias("_i"), F.when(known, w).alias("_w"))
+             .groupBy(key, "_i").agg(F.sum("_w").alias("_w")))
+    # structs with a null index are dropped by the conditional, which collect_list skips
+    rows = F.array_sort(F.collect_list(F.when(F.col("_i").isNotNull(), F.struct("_i", "_w"))))
+    grouped = cells.groupBy(key).agg(rows.alias("_r"))
+    fields = F.struct(F.struct(F.lit(0).alias("type"), F.lit(n_features).alias("size"),
+                               F.col("_r._i").alias("indices"), F.col("_r._w").alias("values")).alias("features"))
+    schema = T.StructType([T.StructField("features", VectorUDT())])
+    return grouped.select(key, F.from_json(F.to_json(fields), schema, {"mode": "FAILFAST"})["features"].alias("features"))
 
 
 def feature_options(features: DataFrame, min_items: int | None = None, normalise: bool = False,

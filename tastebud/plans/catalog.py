@@ -246,6 +246,17 @@ def q_feature_options(spark, d):
     return out.select("item", "feature", _r("weight").alias("weight"))
 
 
+def q_features_to_vector(spark, d):
+    """The stored cells of each item's sparse vector (weights 1 / number of the item's features)."""
+    coded = encode.feature_options(encode.encode_features(tables.item_side_info(spark, d)), normalise=True)
+    n_features = coded.agg(F.max("feature_idx")).first()[0]
+    vectors = encode.features_to_vector(coded, 0 if n_features is None else n_features + 1)
+    v = vectors.select("item", F.unwrap_udt("features").alias("v"))
+    cells = v.select("item", F.col("v.size").alias("size"), F.explode(F.arrays_zip(
+        F.col("v.indices").alias("i"), F.col("v.values").alias("w"))).alias("c"))
+    return cells.select("item", "size", F.col("c.i").alias("feature_idx"), F.col("c.w").alias("weight"))
+
+
 QUERIES: dict[str, Query] = {
     "interaction_table": q_interaction_table,
     "interaction_binary": q_interaction_binary,
@@ -279,6 +290,7 @@ QUERIES: dict[str, Query] = {
     "top_items": q_top_items,
     "item_dictionary": q_item_dictionary,
     "feature_options": q_feature_options,
+    "features_to_vector": q_features_to_vector,
     "arm_scores": q_arm_scores,
     "replay_greedy_policy": q_replay_greedy_policy,
 }
@@ -372,6 +384,11 @@ SQL: dict[str, str] = {
         vocab AS (SELECT feature, CAST(row_number() OVER (ORDER BY feature) - 1 AS BIGINT) AS feature_idx
                   FROM (SELECT DISTINCT feature FROM feats))
         SELECT item, feature, feature_idx, 1.0::DOUBLE AS weight FROM feats JOIN vocab USING (feature)''',
+    "features_to_vector": f'''WITH {SIDE_CTE}, {FEATURES_CTE},
+        vocab AS (SELECT feature, row_number() OVER (ORDER BY feature) - 1 AS i FROM (SELECT DISTINCT feature FROM feats)),
+        k AS (SELECT item, count(*) AS k FROM feats GROUP BY item)
+        SELECT item, CAST((SELECT count(*) FROM vocab) AS INTEGER) AS size, CAST(i AS INTEGER) AS feature_idx, 1.0::DOUBLE / k AS weight
+        FROM feats JOIN vocab USING (feature) JOIN k USING (item)''',
     "append_indicators": f'''WITH {SIDE_CTE}, {FEATURES_CTE}
         SELECT item, feature, 1.0::DOUBLE AS weight FROM feats
         UNION ALL SELECT DISTINCT p_partkey, 'id:' || CAST(p_partkey AS VARCHAR), 1.0::DOUBLE FROM part''',

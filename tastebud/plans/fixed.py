@@ -16,10 +16,12 @@ from pyspark.sql import functions as F
 
 from ..operators import evaluate as ev
 from ..operators import similarity as sim
+from ..operators.encode import index_by_order
+from ..operators.relational import features_from_side_info
 from ..operators.split import hash_split
 from ..session import cut_lineage
 from ..sources import tables
-from .catalog import I_CTE, SEED, TOP_K
+from .catalog import FEATURES_CTE, I_CTE, SEED, SIDE_CTE, TOP_K
 
 FIXED_TEST_FRACTION = 0.5
 DECIMALS = 6
@@ -81,6 +83,18 @@ def q_recommend_unseen_fixed(spark, d):
     return _rounded(sim.recommend_unseen(users, items, taken, TOP_K, decimals=DECIMALS))
 
 
+def q_recommend_unseen_pruned(spark, d):
+    """Unseen items by dot product with vectors shortened by popularity: the item bought by the
+    r-th most users counts 1 / sqrt(r).  Blocks of short vectors are skipped."""
+    users, items = fixed_model(spark, d)
+    _, _, taken = fixed_pairs(spark, d)
+    buyers = tables.interactions(spark, d).groupBy(F.col("item").alias("id")).agg(F.count(F.lit(1)).alias("n"))
+    counted = items.join(buyers, "id", "left").withColumn("n", F.coalesce("n", F.lit(0)))
+    ranked = index_by_order(counted, [F.col("n").desc(), F.col("id")], "r")
+    prior = ranked.select("id", F.transform("vec", lambda x: x / F.sqrt(F.col("r") + 1)).alias("vec"))
+    return _rounded(sim.recommend_unseen(users, prior, taken, TOP_K, decimals=DECIMALS, prune=True, block_rows=256))
+
+
 def q_recommend_users_for_item(spark, d):
     users, items = fixed_model(spark, d)
     return _rounded(sim.recommend_users_for_item(users, items, 5, exclude_self=True, decimals=DECIMALS))
@@ -104,6 +118,18 @@ def q_items_for_feature(spark, d):
     return _rounded(sim.items_for_feature(reps, tag_embeddings(spark, d), TOP_K, decimals=DECIMALS))
 
 
+def q_items_for_summed_features(spark, d):
+    """Items for each brand: a feature's embedding is the sum of the vectors of its items, an item's
+    representation the weighted sum of its features' embeddings (brand, type and tags, weight 1 / their number)."""
+    emb = tables.embedding_vectors(spark, d).select(F.col("id").alias("item"), "vec")
+    feats = features_from_side_info(tables.item_side_info(spark, d)).select("item", "feature")
+    feature_emb = cut_lineage(sim.vector_sum(feats.join(emb, "item"), "feature", "vec"))
+    n = feats.groupBy("item").agg((F.lit(1.0) / F.count(F.lit(1))).alias("weight"))
+    reps = cut_lineage(sim.representations(feats.join(n, "item"), feature_emb, "item"))
+    brands = feature_emb.where(F.col("feature").startswith("brand_"))
+    return _rounded(sim.items_for_feature(reps, brands, TOP_K, decimals=DECIMALS))
+
+
 def q_suggest_features(spark, d):
     reps = tables.embedding_vectors(spark, d).select(F.col("id").alias("item"), "vec")
     return _rounded(sim.suggest_features(reps, tag_embeddings(spark, d), item_tags(spark, d), 3,
@@ -151,10 +177,12 @@ QUERIES = {
     "item_similarity_top10": q_item_similarity_top10,
     "similar_items": q_similar_items,
     "recommend_unseen_fixed": q_recommend_unseen_fixed,
+    "recommend_unseen_pruned": q_recommend_unseen_pruned,
     "recommend_users_for_item": q_recommend_users_for_item,
     "precision_recall_at_10": q_precision_recall_at_10,
     "auc_per_user": q_auc_per_user,
     "items_for_feature": q_items_for_feature,
+    "items_for_summed_features": q_items_for_summed_features,
     "suggest_features": q_suggest_features,
     "similar_features": q_similar_features,
     "item_features_of": q_item_features_of,
@@ -209,6 +237,13 @@ s AS (SELECT a.id AS item, b.id AS neighbour, list_cosine_similarity(a.vec, b.ve
 {_topk_sql('s', 'item', 'neighbour', 5, ', neighbour_label')}""",
     "recommend_unseen_fixed": f"""WITH {I_CTE}, {E_CTE}, {ROLES_CTE}, {PAIRS_CTE},
 c AS (SELECT * FROM scores s WHERE NOT EXISTS (SELECT 1 FROM train t WHERE t."user" = s."user" AND t.item = s.item))
+{_topk_sql('c', '"user"', 'item', TOP_K)}""",
+    "recommend_unseen_pruned": f"""WITH {I_CTE}, {E_CTE}, {ROLES_CTE}, {PAIRS_CTE},
+n AS (SELECT e.id, count(I.item) AS n FROM e LEFT JOIN I ON I.item = e.id GROUP BY e.id),
+r AS (SELECT id, row_number() OVER (ORDER BY n DESC, id) AS r FROM n),
+fp AS (SELECT e.id, list_transform(e.vec, lambda x: x / sqrt(r.r)) AS vec FROM e JOIN r USING (id)),
+c AS (SELECT fu.id AS "user", fp.id AS item, list_inner_product(fu.vec, fp.vec) AS score FROM fu JOIN fp ON fu.id <> fp.id
+      WHERE NOT EXISTS (SELECT 1 FROM train t WHERE t."user" = fu.id AND t.item = fp.id))
 {_topk_sql('c', '"user"', 'item', TOP_K)}""",
     "recommend_users_for_item": f"""WITH {E_CTE}, {ROLES_CTE},
 s AS (SELECT fi.id AS item, fu.id AS "user", list_inner_product(fu.vec, fi.vec) AS score FROM fu JOIN fi ON fu.id <> fi.id)
@@ -229,6 +264,15 @@ cmp AS (SELECT p."user", sum(CASE WHEN p.score > n.score THEN 1.0 WHEN p.score =
 SELECT "user", round(wins / n_cmp, 6) AS auc FROM cmp""",
     "items_for_feature": f"""WITH {E_CTE}, {TAGS_CTE},
 s AS (SELECT t.feature, e.id AS item, list_cosine_similarity(t.vec, e.vec) AS score FROM tags t, e)
+{_topk_sql('s', 'feature', 'item', TOP_K)}""",
+    "items_for_summed_features": f"""WITH {E_CTE}, {SIDE_CTE}, {FEATURES_CTE},
+u AS (SELECT id AS item, unnest(range(1, len(vec) + 1)) AS pos, unnest(vec) AS x FROM e),
+fe AS (SELECT feature, pos, sum(x) AS x FROM feats JOIN u USING (item) GROUP BY feature, pos),
+w AS (SELECT item, 1.0::DOUBLE / count(*) AS w FROM feats GROUP BY item),
+ie AS (SELECT item, pos, sum(w * x) AS x FROM feats JOIN w USING (item) JOIN fe USING (feature) GROUP BY item, pos),
+fv AS (SELECT feature, list(x ORDER BY pos) AS vec FROM fe WHERE starts_with(feature, 'brand_') GROUP BY feature),
+iv AS (SELECT item, list(x ORDER BY pos) AS vec FROM ie GROUP BY item),
+s AS (SELECT feature, item, list_cosine_similarity(fv.vec, iv.vec) AS score FROM fv, iv)
 {_topk_sql('s', 'feature', 'item', TOP_K)}""",
     "suggest_features": f"""WITH {E_CTE}, {TAGS_CTE},
 s AS (SELECT e.id AS item, t.feature, list_cosine_similarity(e.vec, t.vec) AS score FROM e, tags t
