@@ -417,10 +417,10 @@ SQL: dict[str, str] = {
 
 
 def all_queries() -> dict[str, Query]:
-    from . import fixed, flagship, io_queries, rank_queries
-    return {**QUERIES, **fixed.QUERIES, **flagship.QUERIES, **io_queries.QUERIES, **rank_queries.QUERIES}
+    from . import fixed, flagship, io_queries, rank_queries, step_queries
+    return {**QUERIES, **fixed.QUERIES, **flagship.QUERIES, **io_queries.QUERIES, **rank_queries.QUERIES, **step_queries.QUERIES}
 
 
 def all_sql() -> dict[str, str]:
-    from . import fixed, io_queries
-    return {**SQL, **fixed.SQL, **io_queries.SQL}
+    from . import fixed, io_queries, step_queries
+    return {**SQL, **fixed.SQL, **io_queries.SQL, **step_queries.SQL}
