@@ -53,8 +53,52 @@ def test_archives_are_warc_files(spark, tmp_path):
     import glob
     import gzip
     through(spark, ROWS[:3], tmp_path)
-    raw = b"".join(gzip.open(f).read() for f in glob.glob(str(tmp_path / "w" / "*.gz")))
-    assert raw.count(b"WARC/1.1\r\nWARC-Type: ") == 3 and raw.count(b"WARC-Type: revisit") == 2 and raw.endswith(b"\r\n\r\n")
+    raw = b"".join(gzip.open(f).read() for f in glob.glob(str(tmp_path / "w" / "part-*")))
+    assert raw.count(b"WARC/1.1\r\nX-Archive-Offset: ") == 3 and raw.count(b"WARC-Type: revisit") == 2 and raw.endswith(b"\r\n\r\n")
+
+
+def test_captures_are_read_by_range(spark, tmp_path):
+    got = through(spark, ROWS, tmp_path)
+    index = warc.CaptureIndex.build(got, block_lines=4)
+    lines = index.lookup([u for _, u, _ in ROWS if u])
+    html = {p: h for p, _, h in ROWS}
+    kept = {r.page_id for r in got.where("record_type = 'response'").collect()}
+    read = warc.read_captures(lines).collect()
+    assert {r.page_id for r in read} >= {p for p, u, _ in ROWS if u}
+    for r in read:
+        if r.page_id is not None:
+            assert bytes(r.payload) == ((html[r.page_id] or "").encode() if r.page_id in kept else b"")
+
+
+def test_large_archive_is_read_in_splits(spark, tmp_path):
+    import os
+    rnd = random.Random(5)
+    rows = [(i, f"http://s.net/{i}", "%0512x" % rnd.getrandbits(2048)) for i in range(900)]
+    spark.createDataFrame(rows, "page_id long, url string, html string").coalesce(1).createOrReplaceTempView("one_file")
+    warc.write_archives(spark.table("one_file"), str(tmp_path / "w"))
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "20000")
+    try:
+        records = warc.read_records(spark, str(tmp_path / "w"))
+        got = {r.page_id: (r.payload_digest, r.start, r.length) for r in records.collect()}
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+    assert {k: v[0] for k, v in got.items()} == {i: hashlib.sha1(h.encode()).hexdigest() for i, _, h in rows}
+    sizes = [os.path.getsize(tmp_path / "w" / f) for f in os.listdir(tmp_path / "w") if f.startswith("part-")]
+    # members and separators fill the files
+    assert sum(v[2] for v in got.values()) + len(rows) * len(warc.SEPARATOR) == sum(sizes)
+
+
+def test_find_a_table_of_captures(spark, tmp_path):
+    rows = [(i, f"http://h{i % 7}.example.com/{i // 30}", f"text {i}") for i in range(600)] + [(7, "http://h0.example.com/0", "again"), (None, "http://h0.example.com/0", "none"), (3, None, "no url")]
+    records = through(spark, rows, tmp_path)
+    ask = [(u, p) for p, u, _ in rows[::17]] + [("http://h0.example.com/0", 7), ("http://h0.example.com/0", None), (None, 3), ("http://absent/", 1), ("http://h0.example.com/0", 999)]
+    asked = spark.createDataFrame(ask * 2, "url string, page_id long")
+    want = sorted(((warc.url_key(u), p) for p, u, _ in rows if (u, p) in set(ask)), key=str)
+    for limit in (warc.MAX_DIRECTORY, 5, 1):  # a directory of every block, and of runs of blocks
+        index = warc.CaptureIndex.build(records, block_lines=9, max_directory=limit)
+        assert sorted(((r.url_key, r.page_id) for r in index.find(asked).collect()), key=str) == want
+        assert sorted(r.page_id for r in index.lookup(["http://h3.example.com/10"]).collect()) == [p for p, u, _ in rows if u == "http://h3.example.com/10"]
 
 
 def test_url_keys():
