@@ -8,12 +8,14 @@ written back in the same format: separators, country code and the card's first d
 digits are recomputed, dates stay calendar dates (day first where both orders can be, of ISO
 timestamps the date is replaced and the time stays).  The permutation depends on key and kind only,
 so equal values have equal pseudonyms in all documents, however they are punctuated, and
-different values different ones.  E-mail names are permuted letter by letter and digit by digit
+different values different ones; a phone number with its country code and the same number without
+it are two values, as are e-mail addresses in different letter case.  E-mail names are permuted letter by letter and digit by digit
 in two halves; their domain stays.
 
 Defined cases: null text stays null and has no spans; empty text stays empty; invalid values
 (failed Luhn sum, octet above 255, 31 February, area 000) are left alone; repeated rows are
-treated one by one; an empty table gives an empty result; further columns pass through.
+treated one by one; an empty table gives an empty result; further columns pass through, those
+named like a result column with ``_in`` appended to their names.
 """
 
 from __future__ import annotations
@@ -207,7 +209,8 @@ def _pseudonym(key: str, kind: Column, m: Column) -> Column:
 
 def pseudonymise(docs: DataFrame, key: str, text_col: str = "text", into: str = "pseudonymised", spans_into: str = "pii_spans") -> DataFrame:
     """``docs`` plus the text with pseudonyms and the spans (start, end, kind, m, to) found in the input text."""
-    text = F.col(text_col)
+    docs, moved = sp.set_aside(docs, into, spans_into)
+    text = F.col(f"`{moved.get(text_col, text_col)}`")
     found = F.transform(sp.matches(F.coalesce(text, F.lit("")), ANY), lambda x: F.struct(x["start"].alias("start"), x["end"].alias("end"), _kind(x["m"]).alias("kind"), x["m"].alias("m")))
     named = F.transform(found, lambda x: F.struct(x["start"].alias("start"), x["end"].alias("end"), x["kind"].alias("kind"), x["m"].alias("m"), _pseudonym(key, x["kind"], x["m"]).alias("to")))
     out = docs.withColumn(spans_into, named)

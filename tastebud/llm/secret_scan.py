@@ -6,14 +6,19 @@ method looks at candidate strings, runs of at least ``WINDOW`` characters of
 the sum of ``c * log2(c)`` (in integer millionths, so every order of updates gives the same
 value) and the number of characters of each class are updated by the character that enters and
 the one that leaves.  A window is suspicious if its Shannon entropy reaches the threshold of its
-class: hex (only hex digits, one of them 0-9), or mixed (at least two of lower, upper and digit).
-The span covers the candidate from its first suspicious window to the end of its last one.
-Candidates matching the allow list (placeholders, plain words, numbers, alphabets, UUIDs with
-dashes) or holding one of ``allowed`` strings are suppressed.
+class: hex (only hex digits, one of them 0-9), letters (only letters, in both cases) or mixed (at
+least two of lower, upper and digit).  The span covers the candidate from its first suspicious
+window to the end of its last one.
+
+The allow list works in two ways.  Allowed strings (placeholder words, alphabets, the caller's
+``allowed``) are cut out of a candidate, so no window that touches one is suspicious, and what is
+left on either side is a candidate of its own: a key after ``/sample/`` is still found.
+Candidates that are as a whole of an allowed form (numbers, lower-case words, UUIDs with dashes)
+are suppressed.
 
 Defined cases: null or empty text has no spans; repeated rows are scanned one by one; an empty
 table gives an empty result; positions are code points, ends exclusive; further columns pass
-through.
+through, one named like the result with ``_in`` appended to its name.
 """
 
 from __future__ import annotations
@@ -37,16 +42,15 @@ HEX = "[0-9a-f]{16,}"  # the maximal runs of 16 and more
 MIN_ASSIGN, MIN_ACCESS = 12, 18
 
 WINDOW = 20
-HEX_BITS, MIXED_BITS = 3.0, 3.8
+#: names in camel case reach 4.0 bits in a window, seldom 4.1 (pangrams do); random letters of both cases pass it in most keys of 32
+HEX_BITS, MIXED_BITS, LETTER_BITS = 3.0, 3.8, 4.1
 SCALE = 1_000_000
 ALPHABET = "0123456789abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ+/_=-"
 CANDIDATE = r"[A-Za-z0-9+/_=-]{20,}+"
-# fixed values: suppressed candidates
-ALLOW = (
-    r"(?i)example|placeholder|dummy|changeme|sample|your[_-]|xxxx|0123456789|abcdefghij",
-    r"^[A-Za-z]+$", r"^[0-9+/_=-]+$", r"^[a-z_/=-]+$",
-    r"^[0-9a-f]{8}-[0-9a-f]{4}-[0-9a-f]{4}-[0-9a-f]{4}-[0-9a-f]{12}$",
-)
+# allowed strings in either case, cut out of candidates in this order
+ALLOW_WORDS = ("example", "placeholder", "dummy", "changeme", "sample", "your_", "your-", "xxxx", "0123456789", "abcdefghij")
+# allowed forms of a whole candidate
+ALLOW = (r"^[0-9+/_=-]+$", r"^[a-z_/=-]+$", r"^[0-9a-f]{8}-[0-9a-f]{4}-[0-9a-f]{4}-[0-9a-f]{4}-[0-9a-f]{12}$")
 KINDS = ("assign", "access", "hex", "entropy")
 
 
@@ -89,7 +93,8 @@ def suspicious_range(candidate: Column) -> Column:
         some = lambda k: F.when(s[k] > 0, 1).otherwise(0)
         is_hex = (s["hex"] == WINDOW) & (s["digit"] > 0) & ((s["lower"] == 0) | (s["upper"] == 0))
         mixed = some("digit") + some("lower") + some("upper") >= 2
-        hot = (s["i"] >= WINDOW) & ((is_hex & (s["sum"] <= _most(HEX_BITS))) | (~is_hex & mixed & (s["sum"] <= _most(MIXED_BITS))))
+        most = F.when(is_hex, _most(HEX_BITS)).when(s["lower"] + s["upper"] == WINDOW, _most(LETTER_BITS)).otherwise(_most(MIXED_BITS))
+        hot = (s["i"] >= WINDOW) & (is_hex | mixed) & (s["sum"] <= most)
         begin = s["i"] - WINDOW
         return s.withField("first", F.when(hot & (s["first"] < 0), begin).otherwise(s["first"])).withField("last", F.when(hot, begin).otherwise(s["last"]))
 
@@ -109,15 +114,23 @@ def secret_spans(text: Column, allowed: tuple[str, ...] = ()) -> dict[str, Colum
     assign = F.filter(sp.matches(text, ASSIGN), lambda x: F.length(F.regexp_extract(x["m"], ASSIGN, 2)) >= MIN_ASSIGN)
     access = F.filter(sp.matches(text, ACCESS), lambda x: F.length(x["m"]) >= MIN_ACCESS)
 
+    def cut(x):
+        m = x["m"]
+        for w in ALLOW_WORDS:
+            m = F.regexp_replace(m, _any_case(w), " " * len(w))
+        for a in allowed:
+            m = F.replace(m, F.lit(a), F.lit(" " * len(a)))
+        return F.struct(x["start"].alias("start"), m.alias("m"))
+
     def is_candidate(x):
         ok = F.lit(True)
         for p in ALLOW:
             ok = ok & ~x["m"].rlike(p)
-        for a in allowed:
-            ok = ok & ~F.contains(x["m"], F.lit(a))
         return ok
 
-    candidates = F.filter(sp.matches(text, CANDIDATE), is_candidate)
+    parts = F.transform(F.transform(sp.matches(text, CANDIDATE), cut),
+                        lambda x: F.transform(sp.matches(x["m"], CANDIDATE), lambda y: F.struct((x["start"] + y["start"]).alias("start"), y["m"].alias("m"))))
+    candidates = F.filter(F.flatten(parts), is_candidate)
     ranged = F.transform(candidates, lambda x: F.struct(x["start"].alias("start"), suspicious_range(x["m"]).alias("r")))
     entropy = F.transform(F.filter(ranged, lambda x: x["r"]["first"] >= 0),
                           lambda x: F.struct((x["start"] + x["r"]["first"]).alias("start"), (x["start"] + x["r"]["last"] + WINDOW).alias("end")))
@@ -127,4 +140,6 @@ def secret_spans(text: Column, allowed: tuple[str, ...] = ()) -> dict[str, Colum
 
 def scan_secrets(docs: DataFrame, text_col: str = "text", allowed: tuple[str, ...] = (), into: str = "secret_spans") -> DataFrame:
     """``docs`` plus a struct column ``into`` with one array of (start, rank, end, kind) per kind."""
-    return docs.withColumn(into, F.struct(*[c.alias(k) for k, c in secret_spans(F.coalesce(F.col(text_col), F.lit("")), allowed).items()]))
+    docs, moved = sp.set_aside(docs, into)
+    text = F.coalesce(F.col(f"`{moved.get(text_col, text_col)}`"), F.lit(""))
+    return docs.withColumn(into, F.struct(*[c.alias(k) for k, c in secret_spans(text, allowed).items()]))

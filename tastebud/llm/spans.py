@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 SPAN = "array<struct<start:int,end:int,m:string>>"
@@ -31,3 +31,16 @@ def matches(text: Column, pattern: str) -> Column:
 def joined(spans: Column) -> Column:
     """``kind:start:end`` of (start, rank, end, kind) structs in that order, comma-joined."""
     return F.array_join(F.transform(F.array_sort(spans), lambda x: F.concat_ws(":", x["kind"], x["start"].cast("string"), x["end"].cast("string"))), ",")
+
+
+def set_aside(docs: DataFrame, *new: str) -> tuple[DataFrame, dict[str, str]]:
+    """``docs`` with its own columns of the names ``new`` renamed (``_in`` appended until the name is free), and old -> new names."""
+    taken, moved = {c.lower() for c in docs.columns} | {n.lower() for n in new}, {}
+    for c in docs.columns:
+        if c.lower() in {n.lower() for n in new}:
+            free = c + "_in"
+            while free.lower() in taken:
+                free += "_in"
+            taken.add(free.lower())
+            moved[c] = free
+    return docs.withColumnsRenamed(moved), moved

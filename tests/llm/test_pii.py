@@ -127,6 +127,12 @@ def test_long_runs_are_no_trouble(spark, text):
     assert r.pseudonymised is not None
 
 
+def test_clashing_columns_are_set_aside(spark):
+    df = spark.createDataFrame([("mine", "10.1.2.3", 5)], "pii_spans string, text string, pseudonymised int")
+    row = pii.pseudonymise(df, KEY).first()
+    assert row.pii_spans_in == "mine" and row.pseudonymised_in == 5 and [s.m for s in row.pii_spans] == ["10.1.2.3"] and row.pseudonymised != "10.1.2.3"
+
+
 def test_no_python_in_the_plan(spark):
     plan = queries.op8_pii_pseudonyms(spark, SF)._jdf.queryExecution().executedPlan().toString()
     assert "Python" not in plan and "Arrow" not in plan and "Exchange" not in plan

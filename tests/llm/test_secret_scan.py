@@ -24,7 +24,13 @@ def base_spans(t):
 
 def entropy_spans(t):
     out = []
+    masked = list(t)
     for m in re.finditer("[A-Za-z0-9+/_=-]+", t):
+        s = m[0]
+        for w in ss.ALLOW_WORDS if len(s) >= ss.WINDOW else ():
+            s = re.sub(w, " " * len(w), s, flags=re.I | re.A)
+        masked[m.start():m.end()] = s
+    for m in re.finditer("[A-Za-z0-9+/_=-]+", "".join(masked)):
         s = m[0]
         if len(s) < ss.WINDOW or any(re.search(p, s) for p in ss.ALLOW):
             continue
@@ -34,7 +40,8 @@ def entropy_spans(t):
             total = sum(round(ss.SCALE * c * math.log2(c)) for c in Counter(w).values())
             digit, lower, upper = (any(f(c) for c in w) for f in (str.isdigit, str.islower, str.isupper))
             is_hex = all(c in "0123456789abcdefABCDEF" for c in w) and digit and not (lower and upper)
-            if is_hex and total <= ss._most(ss.HEX_BITS) or not is_hex and digit + lower + upper >= 2 and total <= ss._most(ss.MIXED_BITS):
+            bits = ss.HEX_BITS if is_hex else ss.LETTER_BITS if w.isalpha() else ss.MIXED_BITS
+            if (is_hex or digit + lower + upper >= 2) and total <= ss._most(bits):
                 hot.append(i)
         if hot:
             out.append((m.start() + hot[0], 3, m.start() + hot[-1] + ss.WINDOW, "entropy"))
@@ -69,6 +76,29 @@ def test_allow_list_strings(spark):
     assert count() == 1 and count(allowed=("QwErTy",)) == 0
 
 
+KEY = "kJ8s9QwErTyUiOp1ZxCvBnM2aSdF"
+LETTERS = "qXvTgZwKbYpLdRmHcNfSjUaEoIxBtVkW"
+
+
+def test_allowed_words_hide_no_key_beside_them(spark):
+    texts = [f"https://h.org/sample/{KEY}", f"https://h.org/files/{KEY}", f"{KEY}/example", LETTERS, f"key {LETTERS}.", "YOUR_API_KEY_PLACEHOLDER_Example_0123456789",
+             "getElementsByTagNameFromDocument", "AbstractServiceConfigurationFactoryBean"]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    found = {r.doc_id: [texts[r.doc_id][x.start:x.end] for x in r.secret_spans.entropy] for r in ss.scan_secrets(df).collect()}
+    assert all(KEY[-20:] in found[0][0] and KEY in x for x in found[0] + found[1] + found[2]) and [len(found[i]) for i in range(5)] == [1] * 5
+    assert LETTERS in found[3] and LETTERS in found[4] and not found[5] and not found[6] and not found[7]
+
+
+def test_clashing_columns_are_set_aside(spark):
+    df = spark.createDataFrame([("mine", KEY, 7)], "Secret_Spans string, text string, secret_spans_in int")
+    got = ss.scan_secrets(df)
+    assert got.columns == ["Secret_Spans_in_in", "text", "secret_spans_in", "secret_spans"]
+    row = got.first()
+    assert row["Secret_Spans_in_in"] == "mine" and row["secret_spans_in"] == 7 and len(row.secret_spans.entropy) == 1
+    own = ss.scan_secrets(df.select(ss.F.col("text").alias("secret_spans")), text_col="secret_spans").first()
+    assert own.secret_spans_in == KEY and len(own.secret_spans.entropy) == 1
+
+
 def test_no_python_in_the_plan(spark):
     plan = queries.op6_secret_scans(spark, SF)._jdf.queryExecution().executedPlan().toString()
     assert "Python" not in plan and "Arrow" not in plan and "Exchange" not in plan
