@@ -258,55 +258,107 @@ def fold_in_users(item_factors: DataFrame, liked: DataFrame, reg: float) -> Data
     """Factors of many new users at once, item factors (``id, vec``) held fixed: ``user, vec, n``.
 
     ``liked`` is ``user, item, rating``.  Each user's normal equations ``(Y'Y + reg n I) x = Y' r`` are
-    summed in the tasks that read the joined rows, then per user (so one with a third of all rows
-    sends a few partial sums), and solved in batches by Cholesky factors.  Users none of whose items
-    has a factor get no row.  rank * (rank + 1) / 2 numbers move for each user and task.
+    summed and solved where its rows meet.  A user with few rows in a batch sends them as they are (rank
+    numbers each); one with more than the rank / 2 rows that outweigh the sum sends the sum
+    (rank * (rank + 3) / 2 numbers), so one with a third of all rows sends one sum a batch.  Rows are
+    sorted by user and added as they stream by: a task holds one user's sum and a batch.  Users none of
+    whose items has a factor get no row.
     """
-    from pyspark.ml.functions import array_to_vector, vector_to_array
-    from pyspark.ml.stat import Summarizer
     rows = liked.select("user", "item", F.col("rating").cast("double").alias("rating")).join(
         item_factors.select(F.col("id").alias("item"), F.col("vec").cast("array<double>").alias("vec")), "item").select("user", "rating", "vec")
     kind = dict(rows.dtypes)["user"]
-    sums = rows.mapInArrow(_normal_sums, f"user {kind}, s array<double>")
-    total = sums.groupBy("user").agg(vector_to_array(Summarizer.sum(array_to_vector("s"))).alias("s"))
-    return total.mapInArrow(lambda it: _solve(it, reg), f"user {kind}, vec array<double>, n long")
+    parts = rows.mapInArrow(_normal_parts, f"user {kind}, n long, s array<double>")
+    return parts.repartition("user").sortWithinPartitions("user").mapInArrow(lambda it: _solved(it, reg), f"user {kind}, vec array<double>, n long")
+
 
+def _runs(values) -> tuple[np.ndarray, np.ndarray]:
+    """Codes of an Arrow column's values (null has its own) and where runs of equal ones start."""
+    if hasattr(values, "combine_chunks"):
+        values = values.combine_chunks()
+    codes = values.dictionary_encode("encode").indices.to_numpy(zero_copy_only=False)
+    return codes, np.flatnonzero(np.append(True, codes[1:] != codes[:-1]))
 
-def _normal_sums(batches):
-    """Per user of a slice of rows: upper triangle of Y'Y, Y'r and the number of rows."""
+
+def _lists(rows: list):
+    import pyarrow as pa
+    cuts = np.concatenate([[0], np.cumsum([len(r) for r in rows])]).astype(np.int32)
+    return pa.ListArray.from_arrays(pa.array(cuts), pa.array(np.concatenate(rows)))
+
+
+def _normal_parts(batches):
+    """``user, n, s`` of a batch: a row's factors and rating (n = 0), or of a user with many rows their number n
+    and the upper triangle of Y'Y followed by Y'r."""
     import pyarrow as pa
     for batch in batches:
-        for a in range(0, batch.num_rows, 1000):
-            part = batch.slice(a, 1000)
-            users = part.column(0).dictionary_encode()
-            at, r = users.indices.to_numpy(zero_copy_only=False), part.column(1).to_numpy(zero_copy_only=False)
-            y = np.asarray(part.column(2).flatten()).reshape(len(part), -1)
-            i, j = np.triu_indices(y.shape[1])
-            by = np.argsort(at, kind="stable")
-            first = np.flatnonzero(np.append(True, at[by][1:] != at[by][:-1]))
-            all_ = np.column_stack([y[:, i] * y[:, j], y * r[:, None], np.ones(len(y))])[by]
-            out = np.add.reduceat(all_, first, axis=0)
-            cuts = pa.array(np.arange(len(out) + 1, dtype=np.int32) * out.shape[1])
-            yield pa.RecordBatch.from_arrays([users.dictionary.take(pa.array(at[by][first])), pa.ListArray.from_arrays(cuts, pa.array(out.ravel()))], names=["user", "s"])
-
-
-def _solve(batches, reg: float):
-    """Solutions of the summed normal equations."""
+        if not batch.num_rows:
+            continue
+        codes, _ = _runs(batch.column(0))
+        r = batch.column(1).to_numpy(zero_copy_only=False)
+        y = np.asarray(batch.column(2).flatten()).reshape(batch.num_rows, -1)
+        i, j = np.triu_indices(y.shape[1])
+        many = np.bincount(codes)[codes] > (y.shape[1] + 3) // 2
+        rows = np.flatnonzero(~many)
+        if len(rows):
+            flat = np.column_stack([y[rows], r[rows]])
+            cuts = pa.array(np.arange(len(rows) + 1, dtype=np.int32) * flat.shape[1])
+            yield pa.RecordBatch.from_arrays([batch.column(0).take(pa.array(rows)), pa.array(np.zeros(len(rows), np.int64)), pa.ListArray.from_arrays(cuts, pa.array(flat.ravel()))], names=["user", "n", "s"])
+        rows = np.flatnonzero(many)
+        if len(rows):
+            rows = rows[np.argsort(codes[rows], kind="stable")]
+            cuts = np.append(np.flatnonzero(np.append(True, codes[rows][1:] != codes[rows][:-1])), len(rows))
+            sums = []
+            for a, b in zip(cuts, cuts[1:]):
+                own, given = y[rows[a:b]], r[rows[a:b]]
+                sums.append(np.concatenate([(own.T @ own)[i, j], own.T @ given]))
+            yield pa.RecordBatch.from_arrays([batch.column(0).take(pa.array(rows[cuts[:-1]])), pa.array(np.diff(cuts).astype(np.int64)), _lists(sums)], names=["user", "n", "s"])
+
+
+def _solved(batches, reg: float):
+    """Solutions of the normal equations of users whose parts (``_normal_parts``) come one user after another."""
     import pyarrow as pa
+    last, n, a, b = None, 0, None, None  # of the user whose rows may go on in the next batch
+    users, ns, lefts, rights = [], [], [], []
+
+    def solve():
+        m = np.array(ns, np.int64)
+        k = len(rights[0])
+        low = np.linalg.cholesky(np.array(lefts) + reg * m[:, None, None] * np.eye(k))
+        x = np.linalg.solve(low.transpose(0, 2, 1), np.linalg.solve(low, np.array(rights)[:, :, None]))[..., 0]
+        out = pa.RecordBatch.from_arrays([pa.concat_arrays(users), _lists(list(x)), pa.array(m)], names=["user", "vec", "n"])
+        for kept in (users, ns, lefts, rights):
+            kept.clear()
+        return out
+
     for batch in batches:
         if not batch.num_rows:
             continue
-        s = np.asarray(batch.column(1).flatten()).reshape(batch.num_rows, -1)
-        k = int((math.isqrt(9 + 8 * (s.shape[1] - 1)) - 3) // 2)  # k (k + 1) / 2 + k + 1 numbers
-        i, j = np.triu_indices(k)
-        n = np.rint(s[:, -1])  # the summarizer's sums are means times counts
-        a = np.zeros((len(s), k, k))
-        a[:, i, j] = a[:, j, i] = s[:, : len(i)]
-        a += reg * n[:, None, None] * np.eye(k)
-        low = np.linalg.cholesky(a)
-        x = np.linalg.solve(low.transpose(0, 2, 1), np.linalg.solve(low, s[:, len(i):-1, None]))[..., 0]
-        cuts = pa.array(np.arange(len(x) + 1, dtype=np.int32) * k)
-        yield pa.RecordBatch.from_arrays([batch.column(0), pa.ListArray.from_arrays(cuts, pa.array(np.ascontiguousarray(x).ravel())), pa.array(n.astype(np.int64))], names=["user", "vec", "n"])
+        who, sizes, s = batch.column(0), batch.column(1).to_numpy(zero_copy_only=False), batch.column(2)
+        at, values = s.offsets.to_numpy(), s.values.to_numpy(zero_copy_only=False)
+        _, starts = _runs(who)
+        for u, v in zip(starts, np.append(starts[1:], len(who))):
+            if last is None or who[u].as_py() != last.as_py():
+                if last is not None:
+                    users.append(pa.array([last.as_py()], last.type))
+                    ns.append(n), lefts.append(a), rights.append(b)
+                    if len(ns) == 256:
+                        yield solve()
+                last, n, a, b = who[u], 0, 0.0, 0.0
+            raw = u + np.flatnonzero(sizes[u:v] == 0)
+            if len(raw):
+                width = at[raw[0] + 1] - at[raw[0]]
+                own = values[at[raw][:, None] + np.arange(width)]
+                n, a, b = n + len(raw), a + own[:, :-1].T @ own[:, :-1], b + own[:, :-1].T @ own[:, -1]
+            for x in u + np.flatnonzero(sizes[u:v] > 0):
+                part = values[at[x]:at[x + 1]]
+                k = (math.isqrt(9 + 8 * len(part)) - 3) // 2  # k (k + 3) / 2 numbers
+                i, j = np.triu_indices(k)
+                full = np.zeros((k, k))
+                full[i, j] = full[j, i] = part[:len(i)]
+                n, a, b = n + int(sizes[x]), a + full, b + part[len(i):]
+    if last is not None:
+        users.append(pa.array([last.as_py()], last.type))
+        ns.append(n), lefts.append(a), rights.append(b)
+        yield solve()
 
 
 def recommend_for_requests(fit: AlsFit, requests: DataFrame, items: DataFrame, n: int = 10, rating: float = 5.0, reg: float = 0.05) -> DataFrame:

@@ -79,6 +79,22 @@ def test_fold_in_of_a_table(spark):
     assert np.allclose(one, got["hot"][0])
 
 
+def test_fold_in_sends_rows_of_users_with_few():
+    """Users with a row each send their rows, not sums of rank * rank / 2 numbers; a user with many sends one sum."""
+    import pyarrow as pa
+    k, n = 16, 500
+    vecs = np.random.default_rng(2).normal(size=(2 * n, k))
+    users = [*range(n), *[None] * n]
+    batch = pa.RecordBatch.from_arrays([pa.array(users, pa.int64()), pa.array(np.ones(2 * n)), pa.array(vecs.tolist())], names=["user", "rating", "vec"])
+    parts = list(als._normal_parts([batch]))
+    assert sum(len(p.column(2).flatten()) for p in parts) <= n * (k + 1) + k * (k + 3) // 2
+    order = pa.Table.from_batches(parts).take(pa.array([n, *range(n)])).to_batches(max_chunksize=7)  # one user after another, across batches
+    got = [r for b in als._solved(order, 0.1) for r in b.to_pylist()]
+    assert len(got) == n + 1 and sum(r["n"] for r in got) == 2 * n
+    hot = next(r for r in got if r["user"] is None)
+    assert np.allclose(hot["vec"], np.linalg.solve(vecs[n:].T @ vecs[n:] + 0.1 * n * np.eye(k), vecs[n:].sum(axis=0)))
+
+
 def test_many_requests_at_once(spark):
     rows = [(u, (u * 7 + k) % 25, float(1 + (u + k) % 5)) for u in range(30) for k in range(6)]
     ratings = spark.createDataFrame(rows, "user long, item long, rating double")
