@@ -99,3 +99,40 @@ def test_auc_invariant_to_monotone_score_map_and_bounded(spark):
     assert all(0.0 <= v <= 1.0 for v in a.values())
     pr = ev.precision_recall_at_k(users, items, test, 5).collect()
     assert all(0.0 <= r.precision <= 1.0 and 0.0 <= r.recall <= 1.0 for r in pr)
+
+
+def test_right_rows_are_repeated_once_per_task_not_per_block(spark):
+    """Rows sent grow with the tasks, not with the blocks of the other side."""
+    from tastebud.operators import blocks
+    a, b = blocks._layout(spark, 1_000_000, 2_000_000, blocks.LEFT_BLOCKS * blocks.DEFAULT_BLOCK_ROWS)
+    assert b == 1 and a <= max(16, 2 * spark.sparkContext.defaultParallelism)
+
+
+@pytest.mark.parametrize("kind,decimals", [("long", None), ("long", 1), ("string", 1)])
+def test_streamed_best_against_all_scores(monkeypatch, kind, decimals):
+    """Ties by key, repeated and null keys, exclusions and tiles that don't fit: as from the full score matrix."""
+    import pyarrow as pa
+    from tastebud.operators import blocks
+    monkeypatch.setattr(blocks, "TILE_ROWS", 16)
+    monkeypatch.setattr(blocks, "SLICE_ROWS", 5)
+    rng = np.random.default_rng(3)
+    L, R = rng.integers(-3, 4, (23, 3)) / 2, rng.integers(-3, 4, (211, 3)) / 2
+    name = (lambda x: f"k{x:04d}") if kind == "string" else int
+    lkeys, rkeys = [name(i) for i in range(22)] + [name(0)], [name(rng.integers(0, 10 ** 4)) for _ in range(209)] + [None, name(5)]
+    gone = {(lkeys[i], rkeys[j]) for i in range(22) for j in rng.integers(0, 211, i * 10)} - {(x, None) for x in lkeys}
+    typ = pa.string() if kind == "string" else pa.int64()
+    best = blocks._Best(pa.array(lkeys, typ), L, 7, decimals, True)
+    xl, xr = (pa.array([p[c] for p in sorted(gone)], typ) for c in (0, 1))
+    for a in range(0, 211, 50):
+        best.add(pa.array(rkeys[a:a + 50], typ), R[a:a + 50], xl, xr)
+    got = {}
+    for batch in best.rows(typ):
+        for r in batch.to_pylist():
+            got.setdefault(r["lk"], []).append((r["rk"], r["score"]))
+    s = L @ R.T
+    r = np.round(s, decimals) if decimals else s
+    want = {}
+    for i, x in enumerate(lkeys):
+        order = sorted((-r[i, j], y is not None, y or name(0), float(s[i, j])) for j, y in enumerate(rkeys) if x != y and (x, y) not in gone)[:7]
+        want.setdefault(x, []).extend((y if known else None, v) for _, known, y, v in order)
+    assert {x: sorted(map(str, v)) for x, v in got.items()} == {x: sorted(map(str, v)) for x, v in want.items()}
