@@ -153,3 +153,22 @@ def test_report_with_and_without_train_pairs(spark):
     test = spark.createDataFrame([(0, 3), (1, 8)], "user long, item long")
     a, b = (ev.report(v, v, train, test, 2, exclude_train=x).where("split = 'test'").first() for x in (True, False))
     assert a.precision >= b.precision and ev.report(v, v, train, test, 2, splits=("test",)).count() == 1
+
+
+def test_score_batch_query_scores_users_held_out_whole(spark, tmp_path, monkeypatch):
+    """Users without a training pair, with and without side information, still get a row a request."""
+    import hashlib
+
+    from tastebud.plans import rank_queries
+    monkeypatch.setattr(rank_queries, "EPOCHS", 1)
+    monkeypatch.setattr(rank_queries, "BATCHES", 1)
+    held = lambda u, i: hashlib.md5(f"42|{u}|{i}".encode()).hexdigest()[:8] < "80000000"
+    pairs = [(u, i) for u in range(1, 9) for i in range(1, 13) if (u + i) % 2]
+    pairs += [(u, i) for u in (50, 60) for i in range(1, 13) if held(u, i)]
+    write = lambda rows, cols, name: spark.createDataFrame(rows, cols).write.parquet(f"{tmp_path}/{name}.parquet")
+    write([(k, u) for k, (u, _) in enumerate(pairs)], "o_orderkey long, o_custkey long", "orders")
+    write([(k, i, 1.0) for k, (_, i) in enumerate(pairs)], "l_orderkey long, l_partkey long, l_quantity double", "lineitem")
+    write([(i, f"red n{i % 3}", "b", "t") for i in range(1, 13)], "p_partkey long, p_name string, p_brand string, p_type string", "part")
+    write([(u, "AUTO", 1 + u % 2) for u in [*range(1, 9), 50]], "c_custkey long, c_mktsegment string, c_nationkey int", "customer")
+    got = [(r.user, r.item) for r in rank_queries.q_score_batch(spark, str(tmp_path)).collect()]
+    assert sorted(got) == sorted(p for p in pairs if held(*p)) and {50, 60} <= {u for u, _ in got}
