@@ -136,3 +136,27 @@ def test_streamed_best_against_all_scores(monkeypatch, kind, decimals):
         order = sorted((-r[i, j], y is not None, y or name(0), float(s[i, j])) for j, y in enumerate(rkeys) if x != y and (x, y) not in gone)[:7]
         want.setdefault(x, []).extend((y if known else None, v) for _, known, y, v in order)
     assert {x: sorted(map(str, v)) for x, v in got.items()} == {x: sorted(map(str, v)) for x, v in want.items()}
+
+
+@pytest.mark.parametrize("decimals", [None, 1, 6])
+def test_few_wins_against_all_scores(monkeypatch, decimals):
+    """Ties, excluded pairs and padded positives count as from the full score matrix."""
+    from tastebud.operators import blocks
+    monkeypatch.setattr(blocks, "TILE_ROWS", 24)
+    rng = np.random.default_rng(4)
+    L, R = rng.integers(-4, 5, (17, 3)) / 2, rng.integers(-4, 5, (100, 3)) / 2
+    gone = sorted({(int(i), int(j)) for i, j in zip(rng.integers(0, 17, 200), rng.integers(0, 100, 200))})
+    li, ri = (np.array([p[c] for p in gone]) for c in (0, 1))
+    r = np.round(L @ R.T, decimals) if decimals is not None else L @ R.T
+    pos = np.full((17, 5), -np.inf)
+    for i in range(17):
+        pos[i, :i % 6] = r[i, rng.integers(0, 100, i % 6)]
+    left = np.ones(r.shape, bool)
+    left[li, ri] = False
+    want = [sum((r[i, left[i]] < p).sum() + 0.5 * (r[i, left[i]] == p).sum() for p in pos[i] if p > -np.inf) for i in range(17)]
+    assert blocks._few_wins(L, R, pos, li, ri, decimals).tolist() == want
+
+
+def test_whole_block_scores_are_bounded():
+    from tastebud.operators import blocks
+    assert blocks._slice_rows(blocks.DEFAULT_BLOCK_ROWS) * blocks.DEFAULT_BLOCK_ROWS <= blocks.SLICE_CELLS and blocks._slice_rows(10) == blocks.SLICE_ROWS
