@@ -178,3 +178,11 @@ def test_random_search_parallel_matches_sequential(spark, planted_split):
     seq = sorted(tuple(r) for r in tune.random_search(train, test, 2, 3, 5, "bpr", space).collect())
     par = sorted(tuple(r) for r in tune.random_search(train, test, 2, 3, 5, "bpr", space, parallel=2).collect())
     assert seq == par and sum(r[-1] for r in seq) == 1
+
+
+def test_als_queries_read_their_ratings_from_one_table(spark):
+    """The interactions are joined and grouped once, not once per pass of a fit."""
+    from conftest import SF
+    from tastebud.plans import flagship
+    for df in (flagship._ratings(spark, SF), flagship._split(spark, SF)[0]):
+        assert "Join" not in df._jdf.queryExecution().optimizedPlan().toString()
