@@ -172,3 +172,24 @@ def test_score_batch_query_scores_users_held_out_whole(spark, tmp_path, monkeypa
     write([(u, "AUTO", 1 + u % 2) for u in [*range(1, 9), 50]], "c_custkey long, c_mktsegment string, c_nationkey int", "customer")
     got = [(r.user, r.item) for r in rank_queries.q_score_batch(spark, str(tmp_path)).collect()]
     assert sorted(got) == sorted(p for p in pairs if held(*p)) and {50, 60} <= {u for u, _ in got}
+
+
+def test_score_batch_query_leaves_out_rows_without_user_or_item(spark, tmp_path, monkeypatch):
+    """Order lines without a part, orders without a customer, parts without a key: every whole pair is still scored."""
+    import hashlib
+
+    from tastebud.plans import rank_queries
+    monkeypatch.setattr(rank_queries, "EPOCHS", 1)
+    monkeypatch.setattr(rank_queries, "BATCHES", 1)
+    held = lambda u, i: hashlib.md5(f"42|{u}|{i}".encode()).hexdigest()[:8] < "80000000"
+    pairs = [(u, i) for u in range(1, 9) for i in range(1, 13) if (u + i) % 2]
+    odd = [(u, None) for u in range(1, 9)] + [(None, i) for i in range(1, 13)] + [(None, None)]
+    rows = list(enumerate(pairs + odd))
+    write = lambda rows, cols, name: spark.createDataFrame(rows, cols).write.parquet(f"{tmp_path}/{name}.parquet")
+    write([(k, u) for k, (u, _) in rows], "o_orderkey long, o_custkey long", "orders")
+    write([(k, i, 1.0) for k, (_, i) in rows], "l_orderkey long, l_partkey long, l_quantity double", "lineitem")
+    write([(i, f"red n{(i or 0) % 3}", "b", "t") for i in [*range(1, 13), None]], "p_partkey long, p_name string, p_brand string, p_type string", "part")
+    write([(u, "AUTO", 1) for u in [*range(1, 9), None]], "c_custkey long, c_mktsegment string, c_nationkey int", "customer")
+    got = rank_queries.q_score_batch(spark, str(tmp_path)).collect()
+    assert sorted((r.user, r.item) for r in got) == sorted(p for p in pairs if held(*p))
+    assert all(r.score is not None for r in got)
