@@ -193,3 +193,22 @@ def test_score_batch_query_leaves_out_rows_without_user_or_item(spark, tmp_path,
     got = rank_queries.q_score_batch(spark, str(tmp_path)).collect()
     assert sorted((r.user, r.item) for r in got) == sorted(p for p in pairs if held(*p))
     assert all(r.score is not None for r in got)
+
+
+def test_bpr_step_has_no_more_tasks_than_its_rows_need(spark):
+    """The rows that both state updates read are a table: cached, they kept all shuffle partitions (60 here, 120 for both sides' items)."""
+    conf = {"spark.sql.shuffle.partitions": "60", "spark.sql.autoBroadcastJoinThreshold": "-1"}
+    before = {k: spark.conf.get(k) for k in conf}
+    likes = spark.createDataFrame([(u, i) for u in range(1, 9) for i in range(1, 13) if (u + i) % 2], "user long, item long")
+    model = rank_mf.init_rank_mf(likes, 4, 1, loss="bpr", learning_rate=0.05, item_alpha=0.0, user_alpha=0.0, max_sampled=10)
+    tracker = spark.sparkContext.statusTracker()
+    try:
+        for k, v in conf.items():
+            spark.conf.set(k, v)
+        done = set(tracker.getJobIdsForGroup(None))
+        rank_mf.training_step(model, likes)
+        stages = [tracker.getStageInfo(s) for j in set(tracker.getJobIdsForGroup(None)) - done for s in tracker.getJobInfo(j).stageIds]
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+    assert max(s.numTasks for s in stages if s and s.numCompletedTasks) < 60
